@@ -35,10 +35,15 @@ def _largest_on(event_type: str, column: str, alias: str) -> Column:
 
 
 def _earliest_known(column: str) -> Column:
-    """First non-null value by event time, then event id: the same on every run."""
-    known = F.col(column).isNotNull()
-    moment = F.struct(F.col("occurred_at").isNull(), "occurred_at", "event_id")
-    return F.min_by(column, F.when(known, moment)).alias(column)
+    """First non-null value by event time, then event id: the same on every run.
+
+    Time, id and value travel in one struct; its minimum carries the value along.
+    """
+    untimed = F.col("occurred_at").isNull().alias("untimed")
+    first = F.min(
+        F.when(F.col(column).isNotNull(), F.struct(untimed, "occurred_at", "event_id", column))
+    )
+    return first[column].alias(column)
 
 
 def order_lifecycle(events: DataFrame) -> DataFrame:

@@ -1,0 +1,149 @@
+import fixtures as fx
+import pytest
+from pyspark.sql import functions as F
+
+from orderpulse import vocabulary as v
+from orderpulse.operators import checks, contracts, facts
+from orderpulse.operators.publish import publish
+
+
+def tables(spark, rows):
+    silver = fx.events(spark, rows)
+    return {
+        "silver": silver,
+        "fct_order_events": facts.order_event_log(silver),
+        "fct_orders": facts.order_lifecycle(silver),
+        **fx.parents(spark),
+    }
+
+
+def failures(spark, rows, target="ci"):
+    report = contracts.dq_report(
+        tables(spark, rows), contracts.standard_contracts(), contracts.severity_for(target)
+    )
+    return {(r.contract, r.column_name): (r.failures, r.status) for r in report.collect()}
+
+
+def test_clean_rows_pass_everything(spark):
+    got = failures(spark, fx.CLEAN)
+    assert len(got) == 8 and set(got.values()) == {(0, "pass")}
+
+
+def test_bad_rows_fail_as_planted(spark):
+    assert failures(spark, fx.BAD) == {
+        ("unique", "event_id"): (1, "fail"),
+        ("not_null", "event_id"): (1, "fail"),
+        ("accepted_values", "event_type"): (1, "fail"),
+        ("accepted_range", "gmv"): (1, "fail"),
+        ("expression_is_true", "lifecycle_order"): (1, "fail"),
+        ("relationships", "vendor_id"): (1, "fail"),
+        ("relationships", "customer_id"): (0, "pass"),
+        ("relationships", "driver_id"): (0, "pass"),
+    }
+    assert failures(spark, fx.BAD, "prod")["unique", "event_id"] == (1, "warn")
+
+
+def test_failing_rows(spark):
+    t = tables(spark, fx.BAD)
+    orders, log = t["fct_orders"], t["fct_order_events"]
+    assert fx.rows(contracts.unique_failures(log, "event_id"), "event_id", "copies") == [("evt_001", 2)]
+    assert fx.rows(contracts.not_null_failures(log, "event_id"), "order_id") == [("ord_007",)]
+    bad = contracts.accepted_values_failures(log, "event_type", v.EVENT_TYPES, "occurred_at")
+    assert fx.rows(bad, "event_type", "rows", "first_seen") == [("order_shared_to_social", 1, fx.at(2, "12:00"))]
+    assert fx.rows(contracts.accepted_range_failures(orders, "gmv", low=0), "order_id") == [("ord_003",)]
+    late = contracts.expression_failures(orders, contracts.LIFECYCLE_ORDER)
+    assert fx.rows(late, "order_id") == [("ord_006",)]
+    orphans = contracts.orphan_keys(orders, "vendor_id", t["dim_vendor"], "vendor_id")
+    assert fx.rows(orphans, "vendor_id", "rows") == [("vend_999", 1)]
+
+
+def test_lifecycle_rule_is_three_valued(spark):
+    cases = spark.createDataFrame(
+        [
+            ("unknown passes", 1, None, None, None, None),
+            ("false beats unknown", 5, 1, None, None, None),
+            ("true passes", 1, 2, 3, 4, 5),
+            ("late end fails", 1, 2, 3, 4, 3),
+        ],
+        "name string, placed_at int, confirmed_at int, prepared_at int, picked_up_at int, delivered_at int",
+    )
+    got = contracts.expression_failures(cases, contracts.LIFECYCLE_ORDER)
+    assert fx.rows(got, "name") == [("false beats unknown",), ("late end fails",)]
+
+
+def test_range_bounds(spark):
+    df = spark.createDataFrame([(-1,), (0,), (5,), (9,), (None,)], "x int")
+    assert fx.rows(contracts.accepted_range_failures(df, "x", 0, 5), "x") == [(-1,), (9,)]
+    assert fx.rows(contracts.accepted_range_failures(df, "x", high=5), "x") == [(9,)]
+
+
+def test_publish_only_what_passes(spark):
+    name = "published_orders"
+
+    def audit(staged):
+        return contracts.dq_report(
+            {"fct_orders": staged}, [contracts.accepted_range("fct_orders", "gmv", low=0)], "error"
+        )
+
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    publish(spark, facts.order_lifecycle(fx.events(spark, fx.CLEAN)), name, audit)
+    assert spark.table(name).count() == 2
+    with pytest.raises(contracts.ContractViolation, match=r"accepted_range\(fct_orders.gmv\): 1"):
+        publish(spark, facts.order_lifecycle(fx.events(spark, fx.BAD)), name, audit)
+    assert spark.table(name).count() == 2
+
+
+def test_known_issues(spark):
+    t = tables(spark, fx.BAD)
+    got = checks.known_issues(t["fct_orders"], t["fct_order_events"], t["dim_vendor"])
+    assert fx.rows(got, "negative_gmv", "unknown_event_types", "orphan_vendors", "total_issues") == [(1, 1, 1, 3)]
+    empty = checks.known_issues(*(t[n].limit(0) for n in ("fct_orders", "fct_order_events", "dim_vendor")))
+    assert fx.rows(empty, "total_issues") == [(0,)]
+
+
+def test_conflicting_duplicates(spark):
+    bad = fx.events(spark, [*fx.BAD, fx.BAD[2]])
+    assert fx.rows(checks.conflicting_duplicates(bad), "*") == [
+        ("evt_001", 2, "ord_001", "order_placed", "ord_007", "order_placed")
+    ]
+
+
+def test_illegal_transitions(spark):
+    rows = [
+        *fx.CLEAN,
+        fx.event("x1", "confirmed", "o1", fx.at(3, "10:00"), "c", "v"),
+        fx.event("x2", "delivered", "o1", fx.at(3, "11:00"), "c", "v"),
+        fx.event("x3", "placed", "o1", fx.at(3, "12:00"), "c", "v"),
+    ]
+    got = checks.illegal_transitions(fx.events(spark, rows))
+    assert fx.rows(got, "event_id", "previous_type", "event_type") == [
+        ("x1", None, "order_confirmed"),
+        ("x2", "order_confirmed", "order_delivered"),
+        ("x3", "order_delivered", "order_placed"),
+    ]
+
+
+def test_amounts(spark):
+    orders = facts.order_lifecycle(fx.events(spark, fx.CLEAN))
+    assert fx.rows(checks.amount_mismatches(orders), "*") == [
+        ("gmv", "ord_001", 1250, 1500), ("gmv", "ord_002", 730, 800)
+    ]
+    items = spark.createDataFrame(
+        [("ord_001", 2, 300, 600), ("ord_001", 1, 400, 400), ("ord_002", 1, 100, 90)],
+        "order_id string, quantity bigint, unit_price bigint, line_total bigint",
+    )
+    assert fx.rows(checks.amount_identity(orders, items), "*") == sorted(
+        [
+            ("gmv", "ord_001", 1250, 1500), ("gmv", "ord_002", 730, 800),
+            ("line_total", "ord_002", 100, 90), ("food_cost", "ord_002", 90, 500),
+        ],
+        key=repr,
+    )
+
+
+def test_null_key_profile(spark):
+    log = facts.order_event_log(fx.events(spark, fx.BAD)).withColumn(
+        "driver_id", F.when(F.col("event_type") != "order_delivered", F.col("driver_id"))
+    )
+    got = {r.event_type: tuple(r)[1:] for r in checks.null_key_profile(log).collect()}
+    assert got["order_delivered"] == (2, 0, 0, 2) and got["order_placed"] == (6, 0, 0, 0)
