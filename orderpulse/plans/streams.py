@@ -30,8 +30,8 @@ class Delivery:
         self.raw, self.bronze, self.silver = f"{base}/raw", f"{base}/bronze", f"{base}/silver"
         self.progress: list = []
 
-    def land(self, events: DataFrame) -> None:
-        write_events(events, self.raw)
+    def land(self, events: DataFrame, by_hour: bool = False) -> None:
+        write_events(events, self.raw, by_hour)
         arriving = stream_events(self.spark, self.raw)
         run_available(append(arriving, f"{self.bronze}-checkpoint", self.bronze))
 
@@ -52,7 +52,7 @@ def _halves(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 def stream_bronze_ingest(spark, sf_dir) -> DataFrame:
     run = Delivery(spark)
-    run.land(testdata.bronze_events(spark, sf_dir))
+    run.land(testdata.bronze_events(spark, sf_dir), by_hour=True)
     landed = run.read(run.bronze)
     return landed.select(
         "event_id", "event_type", "order_id", "occurred_at", "customer_id", "vendor_id", "driver_id",

@@ -44,17 +44,21 @@ def with_date_and_hour(events: DataFrame) -> DataFrame:
     )
 
 
-def write_events(events: DataFrame, path: str, rows_per_file: int = 5_000_000) -> None:
-    """Append events as JSON lines, one folder per event date and hour.
+def write_events(
+    events: DataFrame, path: str, by_hour: bool = True, rows_per_file: int = 5_000_000
+) -> None:
+    """Append events as JSON lines, by default one folder per event date and hour.
 
     The rebalance hint gathers each hour for few, large files, and lets AQE split an hour
     that is too large for one task.
     """
+    if by_hour:
+        hours = with_date_and_hour(events).hint("rebalance", F.col(DATE_COLUMN), F.col(HOUR_COLUMN))
+        writer = hours.write.partitionBy(DATE_COLUMN, HOUR_COLUMN)
+    else:
+        writer = events.write
     (
-        with_date_and_hour(events)
-        .hint("rebalance", F.col(DATE_COLUMN), F.col(HOUR_COLUMN))
-        .write.mode("append")
-        .partitionBy(DATE_COLUMN, HOUR_COLUMN)
+        writer.mode("append")
         .option("maxRecordsPerFile", rows_per_file)
         .option("ignoreNullFields", False)
         .json(path)
