@@ -12,14 +12,40 @@ from pyspark.sql import functions as F
 
 from orderpulse import schemas
 from orderpulse.operators.cleaning import HEAD, PAYLOAD_FIELDS
-from orderpulse.operators.facts import ITEM_COLUMNS, assemble_baskets
+from orderpulse.operators.facts import assemble_baskets
 from orderpulse.session import use_utc
 
 TIME_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
+# Column types of the tables, so that opening one reads no file footer.
+COLUMNS = {
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return use_utc(spark).read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _text(column: str | Column) -> Column:
@@ -32,60 +58,50 @@ def _cents(column: str) -> Column:
 
 # ---- events as order events ----------------------------------------------------------
 
-
-def _event_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event head with a TIMESTAMP, plus every payload field under its own name."""
-    k, kind = F.col("k"), F.col("kind")
-    placed, cancelled = kind == "order_placed", kind == "order_cancelled"
-    fee = F.lit(200).cast("bigint")
-    service = F.floor(F.col("cents") / 20)
-    discount = F.when(k < 20, 500).otherwise(0).cast("bigint")
-    gmv = F.col("cents") + service - discount + F.when(k < 97, fee).otherwise(0)
-    kinds = (
-        F.when(F.col("event_type") == "view", "order_placed")
-        .when(F.col("event_type") == "click", "order_confirmed")
-        .when(F.col("event_type") == "signup", F.when(k < 50, "order_prepared").otherwise("order_picked_up"))
-        .when(F.col("event_type") == "purchase", "order_delivered")
-        .when(k < 90, "order_cancelled")
-        .when(k < 95, "order_shared_to_social")
-        .otherwise("delivery_photo_uploaded")
-    )
-    driven = kind.isin("order_picked_up", "order_delivered") & (k % 10 != 0)
-    actors = F.array(*[F.lit(a) for a in ("customer", "vendor", "driver", "system", "courier")])
-    reasons = F.array(*[F.lit(r) for r in ("changed_mind", "too_busy", "payment_failed")])
-    vehicles = F.array(*[F.lit(x) for x in ("bicycle", "motorbike", "car")])
-    return (
-        table(spark, sf_dir, "events")
-        .withColumn("k", F.from_json("props", "k int")["k"])
-        .withColumns({"kind": kinds, "cents": _cents("value")})
-        .select(
-            _text("event_id").alias("event_id"),
-            kind.alias("event_type"),
-            F.concat_ws("-", _text("user_id"), _text(F.to_date("ts"))).alias("order_id"),
-            F.col("ts").cast("timestamp").alias("occurred_at"),
-            F.when(~((k == 13) & (kind == "order_confirmed")), _text("user_id")).alias("customer_id"),
-            F.when(k == 77, "vend_999")
-            .when(~((k == 14) & (kind == "order_confirmed")), _text(F.col("user_id") % 10))
-            .alias("vendor_id"),
-            F.when(driven, _text(k % 10)).alias("driver_id"),
-            F.when(placed, gmv).alias("gmv"),
-            F.when(placed, F.col("cents")).alias("food_cost"),
-            F.when(placed, fee).alias("delivery_fee"),
-            F.when(placed, service).alias("service_fee"),
-            F.when(placed, discount).alias("discount"),
-            F.when(placed, F.concat(F.lit("street "), _text(k))).alias("delivery_address"),
-            F.when(kind == "order_confirmed", k.cast("bigint")).alias("estimated_prep_minutes"),
-            F.when(cancelled, F.element_at(actors, k % 5 + 1)).alias("cancelled_by"),
-            F.when(cancelled, F.element_at(reasons, k % 3 + 1)).alias("cancel_reason"),
-            F.when(kind == "order_picked_up", F.element_at(vehicles, k % 3 + 1)).alias("vehicle_type"),
-            F.lit(None).cast(f"array<{schemas.ITEM}>").alias("items"),
-        )
-    )
+KIND = """
+  CASE WHEN event_type = 'view' THEN 'order_placed'
+       WHEN event_type = 'click' THEN 'order_confirmed'
+       WHEN event_type = 'signup' AND k < 50 THEN 'order_prepared'
+       WHEN event_type = 'signup' THEN 'order_picked_up'
+       WHEN event_type = 'purchase' THEN 'order_delivered'
+       WHEN k < 90 THEN 'order_cancelled'
+       WHEN k < 95 THEN 'order_shared_to_social'
+       ELSE 'delivery_photo_uploaded' END AS kind"""
+
+EVENT_COLUMNS = {
+    "event_id": "string(event_id)",
+    "event_type": "kind",
+    "order_id": "concat_ws('-', string(user_id), string(to_date(ts)))",
+    "occurred_at": "timestamp(ts)",
+    "customer_id": "if(k = 13 AND kind = 'order_confirmed', NULL, string(user_id))",
+    "vendor_id": """CASE WHEN k = 77 THEN 'vend_999'
+                         WHEN NOT (k = 14 AND kind = 'order_confirmed') THEN string(user_id % 10) END""",
+    "driver_id": "if(kind IN ('order_picked_up', 'order_delivered') AND k % 10 <> 0, string(k % 10), NULL)",
+    "gmv": "if(kind = 'order_placed', cents + service - cut + if(k < 97, 200, 0), NULL)",
+    "food_cost": "if(kind = 'order_placed', cents, NULL)",
+    "delivery_fee": "if(kind = 'order_placed', 200L, NULL)",
+    "service_fee": "if(kind = 'order_placed', service, NULL)",
+    "discount": "if(kind = 'order_placed', cut, NULL)",
+    "delivery_address": "if(kind = 'order_placed', concat('street ', k), NULL)",
+    "estimated_prep_minutes": "if(kind = 'order_confirmed', bigint(k), NULL)",
+    "cancelled_by": """if(kind = 'order_cancelled', element_at(
+        array('customer', 'vendor', 'driver', 'system', 'courier'), k % 5 + 1), NULL)""",
+    "cancel_reason": """if(kind = 'order_cancelled', element_at(
+        array('changed_mind', 'too_busy', 'payment_failed'), k % 3 + 1), NULL)""",
+    "vehicle_type": """if(kind = 'order_picked_up', element_at(
+        array('bicycle', 'motorbike', 'car'), k % 3 + 1), NULL)""",
+    "items": f"CAST(NULL AS array<{schemas.ITEM}>)",
+}
 
 
 def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as the clean layer."""
-    return _event_columns(spark, sf_dir).select(*HEAD, *PAYLOAD_FIELDS)
+    return (
+        table(spark, sf_dir, "events")
+        .selectExpr("*", "from_json(props, 'k int').k AS k", "bigint(round(value * 100)) AS cents")
+        .selectExpr("*", KIND, "floor(cents / 20) AS service", "if(k < 20, 500L, 0L) AS cut")
+        .selectExpr(*[f"{rule} AS {name}" for name, rule in EVENT_COLUMNS.items()])
+    )
 
 
 def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +110,7 @@ def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields["driver_id"] = F.when(F.col("event_type") == "order_picked_up", F.col("driver_id"))
     payload = F.struct(*[column.alias(field) for field, column in fields.items()])
     return (
-        _event_columns(spark, sf_dir)
+        silver_events(spark, sf_dir)
         .withColumn("payload", payload)
         .withColumn("occurred_at", F.date_format("occurred_at", TIME_TEXT))
         .select(*HEAD, "payload")
