@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from orderpulse import vocabulary as v
@@ -168,6 +168,10 @@ def standard_contracts() -> list:
     ]
 
 
+def contracts_of(table: str) -> list:
+    return [rule for rule in standard_contracts() if rule.table == table]
+
+
 def severity_for(target: str) -> str:
     """Failures block in CI and are only reported elsewhere."""
     return "error" if target == "ci" else "warn"
@@ -236,12 +240,12 @@ class ContractViolation(Exception):
     """Raised when a contract of severity error has failing rows."""
 
 
-def enforce(report: DataFrame) -> None:
-    """Stop on failed contracts. The report has one row per contract, so it is small."""
-    failed = report.filter(F.col("status") == "fail").collect()
+def enforce(report: DataFrame) -> list[Row]:
+    """Run a report and stop on failed contracts. It has one row per contract."""
+    lines = report.collect()
+    failed = [line for line in lines if line.status == "fail"]
     if failed:
         raise ContractViolation(
-            ", ".join(
-                f"{r.contract}({r.table_name}.{r.column_name}): {r.failures}" for r in failed
-            )
+            ", ".join(f"{r.contract}({r.table_name}.{r.column_name}): {r.failures}" for r in failed)
         )
+    return lines

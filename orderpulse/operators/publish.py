@@ -1,29 +1,43 @@
-"""Write, audit, publish: a table is replaced only by rows that passed their contracts."""
+"""Write, audit, publish: a table changes only to rows that passed their contracts."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from orderpulse.operators.contracts import enforce
-from orderpulse.session import work_folder
-from orderpulse.sources.tables import refresh
 
 
 def publish(
-    spark: SparkSession, rows: DataFrame, name: str, audit: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
-    """Stage `rows`, audit the staged copy, and publish that same copy as table `name`.
+    spark: SparkSession,
+    rows: DataFrame,
+    name: str,
+    audit: Callable[[DataFrame], DataFrame] | None = None,
+    folder: str | None = None,
+) -> list[Row]:
+    """Write `rows` once, audit what was written, then point table `name` at it.
 
-    `audit` maps the staged rows to a contract report. A failed contract of severity error
-    raises before the published table is touched, so tables built from it stay as they
-    were. Returns the report.
+    `audit` maps the written rows to a contract report. A failed contract of severity
+    error raises before the table is touched, so it and everything built from it stay as
+    they were. Publishing moves no data; earlier versions stay in `folder` (default: the
+    warehouse) until removed. Returns the report.
     """
-    staged_path = work_folder(spark, "staged")
-    rows.write.parquet(staged_path)
-    staged = spark.read.parquet(staged_path)
-    report = audit(staged)
-    enforce(report)
-    refresh(staged, name)
+    folder = folder or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{folder.rstrip('/')}/versions/{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    written = spark.read.parquet(path)
+    report = enforce(audit(written)) if audit else []
+    _point(spark, name, path, written)
     return report
+
+
+def _point(spark: SparkSession, name: str, path: str, written: DataFrame) -> None:
+    known = spark.catalog.tableExists(name)
+    if known and spark.table(name).schema == written.schema:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
+        return
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=path, source="parquet", schema=written.schema)

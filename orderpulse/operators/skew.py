@@ -17,18 +17,21 @@ GROUP_LIMIT = 100_000
 BASKET_LIMIT = 10_000
 
 
-def heavy_keys(rows: DataFrame, key: str, limit: int) -> DataFrame:
-    """Keys with more than `limit` rows, counted with map-side combining, and stored.
+def heavy_keys(rows: DataFrame, key: str, limit: int) -> DataFrame | None:
+    """Keys with more than `limit` rows, or None when there are none, as is usual.
 
-    At most rows / limit keys, and usually none: callers then skip the extra work.
+    Counting combines before the shuffle. What is found, at most rows / limit keys, is
+    stored, so that the steps after it agree on it and do not count again.
     """
-    shared_folder(rows.sparkSession)
-    return (
+    heavy = (
         rows.groupBy(F.col(key).alias("_key"))
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > limit)
-        .checkpoint()
     )
+    if heavy.count() == 0:
+        return None
+    shared_folder(rows.sparkSession)
+    return heavy.checkpoint()
 
 
 def with_previous(
@@ -47,7 +50,7 @@ def with_previous(
     """
     heavy = heavy_keys(rows, key, limit)
     by_key = Window.partitionBy(key).orderBy(*order)
-    if heavy.isEmpty():
+    if heavy is None:
         return rows.withColumn(alias, F.lag(value).over(by_key))
     match = F.col(key).eqNullSafe(F.col("_key"))
     light = rows.join(heavy, match, "left_anti").withColumn(alias, F.lag(value).over(by_key))
@@ -85,7 +88,7 @@ def _previous_across_ranges(
 def with_lanes(rows: DataFrame, key: str, limit: int, alias: str = "lane") -> DataFrame:
     """Number the rows of oversized keys into lanes of about `limit` rows; others get lane 0."""
     heavy = heavy_keys(rows, key, limit)
-    if heavy.isEmpty():
+    if heavy is None:
         return rows.withColumn(alias, F.lit(0).cast("bigint"))
     lanes = heavy.select("_key", F.ceil(F.col("_rows") / F.lit(limit)).alias("_lanes"))
     # Consecutive rows of a task go round-robin; the same split gives the same ids on retry.

@@ -86,11 +86,15 @@ def test_publish_only_what_passes(spark):
         )
 
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    publish(spark, facts.order_lifecycle(fx.events(spark, fx.CLEAN)), name, audit)
-    assert spark.table(name).count() == 2
+    (line,) = publish(spark, facts.order_lifecycle(fx.events(spark, fx.CLEAN)), name, audit)
+    assert line.status == "pass" and spark.table(name).count() == 2
     with pytest.raises(contracts.ContractViolation, match=r"accepted_range\(fct_orders.gmv\): 1"):
         publish(spark, facts.order_lifecycle(fx.events(spark, fx.BAD)), name, audit)
     assert spark.table(name).count() == 2
+    publish(spark, facts.order_lifecycle(fx.events(spark, fx.CLEAN[:5])), name, audit)
+    assert spark.table(name).count() == 1
+    publish(spark, spark.range(3), name)
+    assert spark.table(name).columns == ["id"]
 
 
 def test_known_issues(spark):
