@@ -7,14 +7,20 @@ collected whole.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderpulse.session import shared_folder
+from orderpulse.session import shared_folder, work_folder
 
 # Largest group handed to a single window or array.
-GROUP_LIMIT = 100_000
+GROUP_LIMIT = 1_000_000
 BASKET_LIMIT = 10_000
+# Heavy keys are counted; up to this many are sent to every task, more are joined by shuffle.
+BROADCAST_KEYS = 10_000
+# Most ranges for hot keys; each also is one row of the border frame.
+MAX_RANGES = 50_000
 
 
 def heavy_keys(rows: DataFrame, key: str, limit: int) -> DataFrame | None:
@@ -28,10 +34,12 @@ def heavy_keys(rows: DataFrame, key: str, limit: int) -> DataFrame | None:
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > limit)
     )
-    if heavy.count() == 0:
+    found = heavy.count()
+    if found == 0:
         return None
     shared_folder(rows.sparkSession)
-    return heavy.checkpoint()
+    heavy = heavy.checkpoint()
+    return F.broadcast(heavy) if found <= BROADCAST_KEYS else heavy
 
 
 def with_previous(
@@ -55,24 +63,24 @@ def with_previous(
     match = F.col(key).eqNullSafe(F.col("_key"))
     light = rows.join(heavy, match, "left_anti").withColumn(alias, F.lag(value).over(by_key))
     hot = rows.join(heavy, match, "left_semi")
-    return light.unionByName(_previous_across_ranges(hot, key, order, value, alias))
+    ranges = min(ceil(heavy.agg(F.sum("_rows")).first()[0] / limit), MAX_RANGES)
+    return light.unionByName(_previous_across_ranges(hot, key, order, value, alias, ranges))
 
 
 def _previous_across_ranges(
-    rows: DataFrame, key: str, order: list[str], value: str, alias: str
+    rows: DataFrame, key: str, order: list[str], value: str, alias: str, ranges: int
 ) -> DataFrame:
-    sorting = [key, *order]
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # The checkpoint freezes the range borders: both readers below must see the same ones.
-    ranged = (
-        rows.repartitionByRange(parts, *sorting)
-        .withColumn("_range", F.spark_partition_id())
-        .checkpoint()
-    )
+    spark, sorting = rows.sparkSession, [key, *order]
+    width = max(ranges, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # Written out to freeze the range borders: both readers below must see the same ones.
+    path = work_folder(spark, "ranges")
+    numbered = rows.repartitionByRange(width, *sorting).withColumn("_range", F.spark_partition_id())
+    numbered.write.parquet(path)
+    ranged = spark.read.schema(numbered.schema).parquet(path)
     carried = F.struct(F.col(key).alias("key"), F.col(value).alias("value"))
     in_range = Window.partitionBy("_range").orderBy(*sorting)
     ends = ranged.groupBy("_range").agg(F.max_by(carried, F.struct(*sorting)).alias("_end"))
-    # One row per range, at most `parts` of them, so one window and a broadcast are safe.
+    # One row per range, so one window and a broadcast are safe.
     borders = ends.select(
         "_range", F.lag("_end").over(Window.orderBy("_range")).alias("_before")
     )
@@ -91,10 +99,12 @@ def with_lanes(rows: DataFrame, key: str, limit: int, alias: str = "lane") -> Da
     if heavy is None:
         return rows.withColumn(alias, F.lit(0).cast("bigint"))
     lanes = heavy.select("_key", F.ceil(F.col("_rows") / F.lit(limit)).alias("_lanes"))
-    # Consecutive rows of a task go round-robin; the same split gives the same ids on retry.
-    lane = F.pmod(F.monotonically_increasing_id(), F.col("_lanes"))
+    # Numbered where the rows are read, before any shuffle, so a retried task numbers alike;
+    # consecutive rows of a task go round-robin.
+    lane = F.pmod(F.col("_number"), F.col("_lanes"))
     return (
-        rows.join(lanes, F.col(key).eqNullSafe(F.col("_key")), "left")
+        rows.withColumn("_number", F.monotonically_increasing_id())
+        .join(lanes, F.col(key).eqNullSafe(F.col("_key")), "left")
         .withColumn(alias, F.coalesce(lane, F.lit(0)).cast("bigint"))
-        .drop("_key", "_lanes")
+        .drop("_key", "_lanes", "_number")
     )

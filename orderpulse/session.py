@@ -7,12 +7,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings for a cluster session. Shuffle width is left to AQE: it starts wide and merges
-# small partitions, so the same code fits megabytes and terabytes.
+# Settings for a cluster session. Batch shuffles start wide and AQE merges small partitions,
+# so the same code fits megabytes and terabytes. Streams cannot be re-planned: their state
+# is split by spark.sql.shuffle.partitions, fixed at the first start of a checkpoint.
 CLUSTER_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "4000",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",

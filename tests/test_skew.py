@@ -21,8 +21,9 @@ def log(spark):
     return spark.createDataFrame(rows, schema).repartition(7).cache()
 
 
-@pytest.mark.parametrize("limit", [10_000, 100, 5])
-def test_previous_row_is_the_same_for_hot_keys(log, limit):
+@pytest.mark.parametrize(("limit", "broadcast"), [(10_000, 9), (100, 9), (100, 0), (40, 9)])
+def test_previous_row_is_the_same_for_hot_keys(log, limit, broadcast, monkeypatch):
+    monkeypatch.setattr(skew, "BROADCAST_KEYS", broadcast)
     plain = Window.partitionBy("order_id").orderBy("occurred_at", "event_id")
     want = log.withColumn("before", F.lag("event_type").over(plain))
     got = skew.with_previous(log, "order_id", ["occurred_at", "event_id"], "event_type", "before", limit)
@@ -32,7 +33,7 @@ def test_previous_row_is_the_same_for_hot_keys(log, limit):
 
 def test_hot_keys_spread_over_ranges(spark, log):
     ranged = skew._previous_across_ranges(
-        log.filter("order_id = 'hot'"), "order_id", ["occurred_at", "event_id"], "event_type", "before"
+        log.filter("order_id = 'hot'"), "order_id", ["occurred_at", "event_id"], "event_type", "before", 3
     )
     assert ranged.count() == 500 and ranged.filter("before IS NULL").count() == 1
 
