@@ -27,9 +27,9 @@ def minutes_since(moment: Column, now: Column | datetime | str) -> Column:
     return micros / F.lit(60_000_000.0)
 
 
-def stage_minutes(start: str, end: str) -> Column:
-    """Minutes between two stages, counted in whole seconds; NULL if either is missing."""
-    return (F.unix_timestamp(end) - F.unix_timestamp(start)) / F.lit(60.0)
+def stage_seconds(start: str, end: str) -> Column:
+    """Whole seconds between two stages; NULL if either is missing."""
+    return F.unix_timestamp(end) - F.unix_timestamp(start)
 
 
 def duration_text(minutes: Column) -> Column:

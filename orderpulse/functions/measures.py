@@ -23,3 +23,9 @@ def sum_where(condition: Column, value: str) -> Column:
 
 def mean_where(condition: Column, value: Column) -> Column:
     return F.avg(F.when(condition, value))
+
+
+def mean_minutes_where(condition: Column, seconds: Column) -> Column:
+    """Mean in minutes from exact sums, so that it does not depend on the order of rows."""
+    known = F.when(condition, seconds)
+    return F.try_divide(F.sum(known), F.count(known) * F.lit(60.0))

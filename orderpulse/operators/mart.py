@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderpulse import vocabulary as v
-from orderpulse.functions.clock import stage_minutes
-from orderpulse.functions.measures import mean_where, share, sum_where
+from orderpulse.functions.clock import stage_seconds
+from orderpulse.functions.measures import mean_minutes_where, mean_where, share, sum_where
 
 TREND_METRICS = (
     "delivered_orders",
@@ -35,10 +35,10 @@ def daily_metrics(orders: DataFrame) -> DataFrame:
             sum_where(delivered, "gmv").alias("total_gmv"),
             mean_where(delivered, F.col("gmv")).alias("avg_order_value"),
             sum_where(delivered, "discount").alias("total_discount_given"),
-            mean_where(delivered, stage_minutes("placed_at", "delivered_at")).alias(
+            mean_minutes_where(delivered, stage_seconds("placed_at", "delivered_at")).alias(
                 "avg_delivery_time_minutes"
             ),
-            mean_where(delivered, stage_minutes("confirmed_at", "prepared_at")).alias(
+            mean_minutes_where(delivered, stage_seconds("confirmed_at", "prepared_at")).alias(
                 "avg_prep_time_minutes"
             ),
             F.count_distinct("customer_id").alias("unique_customers"),

@@ -42,7 +42,7 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a temporary one only in local mode."""
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")

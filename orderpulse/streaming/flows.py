@@ -13,8 +13,9 @@ from pyspark.sql.streaming import DataStreamWriter
 from orderpulse import vocabulary as v
 from orderpulse.operators.cleaning import flatten, with_event_time
 
-# Copies of one event are thinned out in this many lanes before they meet in one task.
-LANES = 32
+# Copies of one event are thinned out in up to this many lanes before they meet in one task.
+# More lanes cost nothing for events without copies.
+LANES = 4096
 
 
 def dedup_stream(events: DataFrame, key: str = "event_id", lanes: int = LANES) -> DataFrame:
@@ -22,8 +23,9 @@ def dedup_stream(events: DataFrame, key: str = "event_id", lanes: int = LANES) -
 
     The final step keeps every key it has seen, so a replay adds nothing however late it
     comes. It must bring all copies of a key to one task; the step before it drops copies
-    per lane, with state that expires, so that a key holding a large share of the rows
-    reaches that task as at most one row per lane and watermark period.
+    per lane (the input task, modulo `lanes`), with state that expires, so that a key holding
+    a large share of the rows reaches that task as at most one row per lane and watermark
+    period.
     """
     if lanes > 1:
         lane = F.pmod(F.spark_partition_id(), F.lit(lanes))

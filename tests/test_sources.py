@@ -65,9 +65,9 @@ def test_sink_layout_and_counts(spark, raw_folder, tmp_path):
 
 
 DIMS = {
-    "customers": "customer_id,name,email,phone,city,lat,lon,registration_date\nc1,佐藤,a@b.c,080,Kyoto,34.9,135.7,2025-03-11\n",
-    "vendors": "vendor_id,name,cuisine_type,city,lat,lon,avg_prep_minutes,rating\nv1,中川 Pizza,Pizza,Kyoto,34.9,135.7,22,4.4\n",
-    "drivers": "driver_id,name,vehicle_type,city,rating\nd1,吉田,car,Nagoya,4.5\n",
+    "customers": "customer_id,name,email,phone,city,lat,lon,registration_date\nc1,花子,a@b.c,080,Kyoto,34.9,135.7,2025-03-11\n",
+    "vendors": "vendor_id,name,cuisine_type,city,lat,lon,avg_prep_minutes,rating\nv1,青空食堂,Pizza,Kyoto,34.9,135.7,22,4.4\n",
+    "drivers": "driver_id,name,vehicle_type,city,rating\nd1,次郎,car,Nagoya,4.5\n",
     "menu_items": "menu_item_id,vendor_id,name,category,price,is_available\nm1,v1,Ramen,Main,980,true\nm2,v1,Gyoza,Side,400,True\n",
 }
 
@@ -127,3 +127,19 @@ def test_newest_run(spark):
 def test_shared_folder_comes_from_the_session(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert session.work_folder(spark, "x").startswith(named)
+
+
+def test_a_hot_hour_is_written_by_several_tasks(spark, tmp_path):
+    """AQE splits the one oversized hour of the rebalanced write."""
+    hour = F.lit("2024-01-15T12:00:00.000Z")
+    hot = spark.range(40_000).select(
+        F.sha2(F.col("id").cast("string"), 512).alias("event_id"), hour.alias("occurred_at")
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "256k")
+    try:
+        events.write_events(hot.repartition(8), str(tmp_path / "hot"))
+    finally:
+        spark.conf.set(key, before)
+    assert len(glob.glob(f"{tmp_path}/hot/*/event_hour=12/*.json")) > 1
