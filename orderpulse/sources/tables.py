@@ -35,6 +35,14 @@ class Layers:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.schema(layer)}")
 
 
+def clustered(rows: DataFrame, *columns: str) -> DataFrame:
+    """Rows ranged and sorted by `columns`, so that a stored table skips files on range filters.
+
+    Add a unique column at the end: ranges can then also cut through one hot value.
+    """
+    return rows.repartitionByRange(*columns).sortWithinPartitions(*columns)
+
+
 def refresh(rows: DataFrame, name: str) -> None:
     """Replace a derived table by its newly computed rows."""
     rows.write.mode("overwrite").format("parquet").saveAsTable(name)

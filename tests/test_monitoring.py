@@ -104,3 +104,5 @@ def test_last_write_reads_file_times_only(spark, tmp_path):
     got = monitoring.last_write(spark, {"bronze": str(tmp_path / "a"), "silver": str(tmp_path / "b")})
     times = dict(fx.rows(got, "layer", "last_write_at"))
     assert times["bronze"] <= times["silver"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReadSchema: struct<modificationTime:timestamp>") == 2

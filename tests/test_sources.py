@@ -117,6 +117,24 @@ def test_bucketed_events_need_no_shuffle(spark):
     assert "Exchange" not in plan.toString()
 
 
+def test_clustered_files_do_not_overlap(spark, tmp_path):
+    rows = spark.range(20_000).select(F.pmod(F.xxhash64("id"), F.lit(50)).alias("day"), "id")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        tables.clustered(rows.repartition(4), "day", "id").write.parquet(str(tmp_path / "t"))
+    finally:
+        spark.conf.set(key, "true")
+    spans = (
+        spark.read.parquet(str(tmp_path / "t"))
+        .groupBy(F.input_file_name().alias("file"))
+        .agg(F.min(F.struct("day", "id")).alias("low"), F.max(F.struct("day", "id")).alias("high"))
+        .orderBy("low")
+        .collect()
+    )
+    assert len(spans) == 8 and all(a.high < b.low for a, b in zip(spans, spans[1:]))
+
+
 def test_newest_run(spark):
     log = spark.createDataFrame([(1, fx.at(1, "10:00")), (2, fx.at(2, "10:00")), (3, None)], "id int, committed_at timestamp")
     newest = tables.newest_run(log)
