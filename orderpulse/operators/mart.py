@@ -76,6 +76,12 @@ def preset_bounds(oldest: Column, newest: Column, preset: str, today: date) -> t
     return first, last
 
 
+def preset_range(mart: DataFrame, preset: str, today: date) -> DataFrame:
+    """First and last day of a preset range, one row, to filter other tables by."""
+    first, last = preset_bounds(F.col("min_date"), F.col("max_date"), preset, today)
+    return date_range(mart).select(first.alias("start_date"), last.alias("end_date"))
+
+
 def metrics_in_preset(mart: DataFrame, preset: str, today: date) -> DataFrame:
     """Mart rows of a preset range, found in the same pass over the mart."""
     # The mart has one row per calendar day, so the unpartitioned window stays small.

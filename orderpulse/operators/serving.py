@@ -28,15 +28,15 @@ def hourly_volume(orders: DataFrame) -> DataFrame:
 
 
 def volume_vs_baseline(
-    orders: DataFrame, window_hours: int = v.WINDOW_HOURS["72h"], exclude_current: bool = False
+    orders: DataFrame, window: int | str = "72h", exclude_current: bool = False
 ) -> DataFrame:
     """Orders per hour against the mean of the same hour of day over the last seven days.
 
-    Both spans end at the newest order, and by default the seven days include the
-    displayed hours. Orders are reduced to hours once; both figures and the join on the
+    `window` is a number of hours or one of the presets. Both spans end at the newest
+    order, and by default the seven days include the displayed hours. Orders are reduced to hours once; both figures and the join on the
     hour of day then work on a few hundred rows.
     """
-    window_hours = int(window_hours)
+    window_hours = int(v.WINDOW_HOURS.get(window, window))
     placed = F.col("placed_at").cast("timestamp")
     newest = orders.agg(F.max(placed)).scalar()
     shown_from = newest - F.make_interval(hours=F.lit(window_hours))

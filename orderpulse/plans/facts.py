@@ -79,6 +79,7 @@ QUERIES = {
     ),
     "date_range": lambda s, d: mart.date_range(daily(s, d)),
     "metrics_in_range": lambda s, d: mart.metrics_between(daily(s, d), START, END),
+    "preset_range": lambda s, d: mart.preset_range(daily(s, d), "30d", TODAY),
     "metrics_in_preset": lambda s, d: mart.metrics_in_preset(daily(s, d), "7d", TODAY),
     "kpi_header": lambda s, d: mart.kpi_header(mart.metrics_between(daily(s, d), START, END)),
     "metric_trend": lambda s, d: mart.metric_trend(mart.metrics_between(daily(s, d), START, END)),
@@ -90,6 +91,9 @@ _LOG = (
     "cancelled_by, cancel_reason"
 )
 _RANGE = f"order_date BETWEEN DATE '{START}' AND DATE '{END}'"
+_ENDS = f"""SELECT min(order_date) AS lo,
+    CASE WHEN max(order_date) = DATE '{TODAY}' THEN max(order_date) - 1 ELSE max(order_date) END AS hi
+  FROM mart"""
 
 ORACLES = {
     "order_lifecycle": duck.with_tables(duck.ORDERS) + "SELECT * FROM fct_orders",
@@ -121,12 +125,10 @@ ORACLES = {
     + """SELECT min(order_date) AS min_date, max(order_date) AS max_date
          FROM mart WHERE order_date IS NOT NULL""",
     "metrics_in_range": duck.with_tables(duck.MART) + f"SELECT * FROM mart WHERE {_RANGE}",
+    "preset_range": duck.with_tables(duck.MART)
+    + f"SELECT greatest(lo, hi - 29) AS start_date, hi AS end_date FROM ({_ENDS})",
     "metrics_in_preset": duck.with_tables(duck.MART)
-    + f"""SELECT mart.* FROM mart, (
-            SELECT min(order_date) AS lo,
-              CASE WHEN max(order_date) = DATE '{TODAY}' THEN max(order_date) - 1
-                   ELSE max(order_date) END AS hi
-            FROM mart)
+    + f"""SELECT mart.* FROM mart, ({_ENDS})
           WHERE order_date BETWEEN greatest(lo, hi - 6) AND hi""",
     "kpi_header": duck.with_tables(duck.MART)
     + f"""SELECT orders, gmv, delivered, cancelled,

@@ -20,8 +20,8 @@ def top_vendors(spark, sf_dir):
 
 QUERIES = {
     "hourly_volume": lambda s, d: serving.hourly_volume(orders(s, d)),
-    "volume_vs_baseline": lambda s, d: serving.volume_vs_baseline(orders(s, d), 72),
-    "volume_vs_baseline_14d": lambda s, d: serving.volume_vs_baseline(orders(s, d), 336),
+    "volume_vs_baseline": lambda s, d: serving.volume_vs_baseline(orders(s, d)),
+    "volume_vs_baseline_14d": lambda s, d: serving.volume_vs_baseline(orders(s, d), "14d"),
     "hour_heatmap": lambda s, d: serving.hour_heatmap(orders(s, d)),
     "hour_heatmap_wide": lambda s, d: serving.hour_heatmap_wide(orders(s, d), TODAY),
     "top_vendors": top_vendors,

@@ -17,7 +17,7 @@ def run_sql(sql: str, sf_dir: str) -> pa.Table:
         con.execute("SET TimeZone = 'UTC'")
         for name in TABLES:
             con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
-        return con.execute(sql).to_arrow_table()
+        return con.sql(sql).to_arrow_table()
 
 
 def _rows(table: pa.Table) -> list[str]:

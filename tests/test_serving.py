@@ -54,7 +54,9 @@ def test_volume_against_brute_force(placed, window, exclude):
     assert [tuple(r) for r in got.collect()] == want
 
 
-def test_window_must_be_a_number(placed):
+def test_window_is_a_preset_or_a_number(placed):
+    by_name, by_hours = (serving.volume_vs_baseline(placed[1], w).collect() for w in ("24h", 24))
+    assert by_name == by_hours
     with pytest.raises(ValueError):
         serving.volume_vs_baseline(placed[1], "72; DROP TABLE x")
 
@@ -153,6 +155,8 @@ def days(spark):
 def test_presets(days, preset, today, first, last):
     got = [r.order_date.day for r in mart.metrics_in_preset(days, preset, today).collect()]
     assert got == list(range(first, last + 1))
+    start, end = mart.preset_range(days, preset, today).first()
+    assert (start.day, end.day) == (first, last)
 
 
 def test_range_bounds_and_trend(days):
