@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,6 +18,9 @@ def parse_time(text: Column | str) -> Column:
 
 
 def as_time(moment: Column | datetime | str) -> Column:
+    """A point in time as TIMESTAMP; a datetime without a zone means UTC."""
+    if isinstance(moment, datetime) and moment.tzinfo is None:
+        moment = moment.replace(tzinfo=timezone.utc)
     return moment if isinstance(moment, Column) else F.lit(moment).cast("timestamp")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderpulse import schemas
+from orderpulse.functions.clock import as_time
 from orderpulse.plans import duck
 from orderpulse.session import work_folder
 from orderpulse.sources import testdata
@@ -46,7 +47,7 @@ class Delivery:
 
 def _halves(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     events = testdata.bronze_events(spark, sf_dir)
-    border = F.date_format(F.lit(HALF).cast("timestamp"), testdata.TIME_TEXT)
+    border = F.date_format(as_time(HALF), testdata.TIME_TEXT)
     return events.filter(F.col("occurred_at") < border), events.filter(F.col("occurred_at") >= border)
 
 

@@ -1,3 +1,4 @@
+import time
 from datetime import datetime, timedelta
 
 import fixtures as fx
@@ -59,6 +60,20 @@ def test_times_without_zone_are_utc(spark):
     assert tuple(df.select(*[minutes_since(F.col(c), now) for c in "abc"]).first()) == (60, 60, None)
 
 
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Tokyo"])
+def test_the_machine_zone_does_not_matter(spark, monkeypatch, zone):
+    df = spark.sql("SELECT timestamp_ntz'2026-10-22 11:00:00' a")
+    noon = (datetime(2026, 10, 22, 12), datetime.fromisoformat("2026-10-22T21:00:00+09:00"))
+    monkeypatch.setenv("TZ", zone)
+    time.tzset()
+    try:
+        ages = df.select(*[minutes_since(F.col("a"), now) for now in noon])
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+    assert tuple(ages.first()) == (60, 60)
+
+
 def test_freshness_over_layers(spark):
     now = datetime(2026, 6, 5)
     stats = spark.createDataFrame(
