@@ -49,7 +49,10 @@ def refresh(rows: DataFrame, name: str) -> None:
 
 
 def refresh_bucketed(rows: DataFrame, name: str, key: str, buckets: int) -> None:
-    """Same, laid out by `key`, so that aggregates and joins on it need no shuffle."""
+    """Same, laid out by `key`, so that aggregates and joins on it need no shuffle.
+
+    All rows of a key share a file, so this is for keys without a hot value.
+    """
     (
         rows.repartition(buckets, key)
         .write.mode("overwrite")

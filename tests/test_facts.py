@@ -1,10 +1,12 @@
 from datetime import date, datetime
+from random import Random
 
 import fixtures as fx
 import pytest
 from pyspark.sql import functions as F
 
 from orderpulse import schemas
+from orderpulse import vocabulary as v
 from orderpulse.operators import facts, mart
 
 
@@ -73,6 +75,42 @@ def test_status_precedence(spark, seen, status):
     assert fx.rows(orders(spark, rows), "final_status") == [(status,)]
 
 
+def test_orders_against_brute_force(spark):
+    rnd, log = Random(5), []
+    stages = [*(kind.removeprefix("order_") for kind in v.EVENT_TYPES), "shared_to_social"]
+    for i in range(3000):
+        log.append(
+            fx.event(
+                f"e{i:05d}", rnd.choice(stages), rnd.choice([None, *map(str, range(300))]),
+                rnd.choice([None, fx.at(1 + rnd.randrange(28), f"{rnd.randrange(10, 24)}:30")]),
+                rnd.choice([None, "c1", "c2", "c3"]), rnd.choice([None, "v1", "v2"]),
+                rnd.choice([None, None, "d1", "d2"]), [rnd.randrange(-9, 99) for _ in range(5)],
+                (rnd.choice([None, "customer", "system"]), rnd.choice([None, "timeout", "too_busy"])),
+            )
+        )
+    named = [dict(zip(fx._FIELDS, row)) for row in log]
+
+    def largest(values):
+        return max((x for x in values if x is not None), default=None)
+
+    def fold(key):
+        mine = sorted(
+            (e for e in named if e["order_id"] == key),
+            key=lambda e: (e["occurred_at"] is None, e["occurred_at"] or fx.at(1, "00:00"), e["event_id"]),
+        )
+        of = {kind: [e for e in mine if e["event_type"] == kind] for kind in v.EVENT_TYPES}
+        row = [key] + [next((e[k] for e in mine if e[k] is not None), None) for k in v.ORDER_KEYS]
+        stamps = {s: largest(e["occurred_at"] for e in of[kind]) for s, kind in v.STAGE_EVENTS.items()}
+        row += stamps.values()
+        row += [largest(e[m] for e in of["order_placed"]) for m in v.PLACED_MEASURES]
+        row += [largest(e[c] for e in of["order_cancelled"]) for c in v.CANCEL_CONTEXT]
+        return (*row, next((status for s, status in v.STATUS_BY_STAGE.items() if stamps[s]), "unknown"))
+
+    want = sorted((fold(key) for key in {e["order_id"] for e in named}), key=repr)
+    got = facts.order_lifecycle(fx.events(spark, log).repartition(5))
+    assert fx.rows(got, "*") == want
+
+
 def test_daily_mart_clean(spark):
     (row,) = mart.daily_metrics(orders(spark, fx.CLEAN)).collect()
     assert row.asDict() == {
