@@ -51,9 +51,9 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def stored(frame: DataFrame, purpose: str) -> DataFrame:
+def stored(frame: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """The frame written to the shared folder and read again: cuts lineage, survives lost executors."""
     spark = frame.sparkSession
     path = work_folder(spark, purpose)
-    frame.write.parquet(path)
+    frame.write.option("compression", compression).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
