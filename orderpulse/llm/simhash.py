@@ -58,9 +58,13 @@ def majority_bits(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
+def text_key(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, fp) for every row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    """(doc_id, key, fp) for every row; key is a hash that tells texts apart."""
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -69,9 +73,9 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
                 counts = np.array([len(h) for h in hashes], np.int64)
                 flat = np.fromiter((x for h in hashes for x in h), np.uint64, int(counts.sum()))
                 fp = majority_bits(flat, counts).view(np.int64)
-                yield record_batch(schema, [part["doc_id"], fp])
+                yield record_batch(schema, [part["doc_id"], part["key"], fp])
 
-    return id_and_text(docs).mapInArrow(run, "doc_id long, fp long")
+    return id_and_text(docs).withColumn("key", text_key("text")).mapInArrow(run, "doc_id long, key long, fp long")
 
 
 def block_masks(radius: int) -> list[int]:
@@ -200,16 +204,33 @@ def similar_fingerprints(distinct: DataFrame, radius: int = 3, task_rows: int =
     return grouped.select("group", "fp").mapInArrow(run, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, task_rows: int = TASK_ROWS) -> DataFrame:
-    """(doc_id, fp, component_id) for every row; component_id is the smallest doc_id reachable over links."""
-    rows = stored(fingerprints(docs, words), "fingerprints")
+def component_names(rows: DataFrame, radius: int = 3, task_rows: int = TASK_ROWS) -> DataFrame:
+    """(fp, component_id) for the fingerprints of (doc_id, fp) rows."""
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     labels = connected_components(similar_fingerprints(distinct.select("fp"), radius, task_rows))
     named = distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left")
     named = named.select("fp", "first_id", F.coalesce("label", "fp").alias("label"))
     smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    named = stored(named.join(smallest, "label").select("fp", "component_id"), "components")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    return stored(named.join(smallest, "label").select("fp", "component_id", "label"), "components")
+
+
+def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, task_rows: int = TASK_ROWS) -> DataFrame:
+    """(doc_id, fp, component_id) for every row; component_id is the smallest doc_id reachable over links."""
+    rows = stored(fingerprints(docs, words), "fingerprints")
+    return rows.join(component_names(rows, radius, task_rows), "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, words: int = 3, radius: int = 3, task_rows: int = TASK_ROWS) -> DataFrame:
+    """Of each component the row with the smallest doc_id, with all columns; of rows that share it, one."""
+    rows = stored(fingerprints(docs, words), "fingerprints")
+    named = rows.join(component_names(rows, radius, task_rows), "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = named.groupBy("label").agg(F.min("key").alias("kept_key"), F.first("doc_id").alias("kept_id"))
+    kept = kept.select(F.coalesce("kept_id", F.lit(-1)).alias("kept_id"), "kept_key")
+    found = docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("kept_id"), text_key("text").alias("kept_key"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+    )
+    return found.join(kept, ["kept_id", "kept_key"]).dropDuplicates(["kept_id", "kept_key"]).select("row.*")
 
 
 def hex_digits(fp: str) -> Column:
