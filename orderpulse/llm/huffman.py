@@ -69,7 +69,8 @@ def encode(symbols: np.ndarray, counts: np.ndarray, codes: np.ndarray, lengths:
     used = lengths[symbols]
     ends = np.cumsum(used)
     first = np.r_[0, np.cumsum(counts)]
-    before = np.r_[0, ends][first]  # bits before each run, without fill
+    sums = np.r_[0, ends]
+    before = sums[first]  # bits before each run, without fill
     size = (np.diff(before) + 7) // 8
     base = np.r_[0, np.cumsum(size)] * 8
     at = ends - used + np.repeat(base[:-1] - before[:-1], counts)
@@ -87,7 +88,7 @@ def encode(symbols: np.ndarray, counts: np.ndarray, codes: np.ndarray, lengths:
         if n == 0:
             checks.append(b"")
             continue
-        own = np.r_[0, ends][np.r_[np.arange(first[k], first[k + 1], BLOCK), first[k + 1]]]
+        own = sums[np.r_[np.arange(first[k], first[k + 1], BLOCK), first[k + 1]]]
         checks.append(np.diff(own).astype("<u2").tobytes())
     return payloads, checks
 
