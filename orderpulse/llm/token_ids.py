@@ -26,11 +26,12 @@ from orderpulse.llm import huffman
 from orderpulse.llm.common import id_and_text, pieces, record_batch, stored
 
 END_ID = 2
-CACHED = 300_000
+CACHED = 400_000
 TOKENS_PER_FILE = 16 << 20
 # A space that is alone between two words is always the start of the next token, so texts can be cut there.
 _UNEVEN = ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ")
 _RARE_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_LETTERS_AND_MARKS = re.compile(r"([^\W\d_]+)([.,!?;:]+)")
 
 
 class Encoder:
@@ -42,7 +43,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.words: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}  # ids of words after a space
+        self.parts: dict[str, bytes] = {}  # ids of their letters after a space
+        self.marks: dict[str, bytes] = {}  # ids of the marks that follow the letters
         pieces_by_id = sorted(self.tokenizer.get_vocab().items(), key=lambda x: x[1])
         self.after_space = np.zeros(pieces_by_id[-1][1] + 1, bool)
         for piece, i in pieces_by_id:
@@ -53,6 +56,16 @@ class Encoder:
         return [np.array(x.ids, self.kind).tobytes() for x in done]
 
     def _learn(self, words: list[str]) -> None:
+        """Ids of words that follow a space. Letters and the marks after them are separate to the tokenizer."""
+        plain = {w: m for w in words if (m := _LETTERS_AND_MARKS.fullmatch(w))}
+        letters = {m[1] for m in plain.values()} | {w for w in words if w not in plain}
+        self._learn_parts(list(letters - self.parts.keys()))
+        marks = list({m[2] for m in plain.values()} - self.marks.keys())
+        self.marks.update(zip(marks, self._ids(marks)))
+        for w in words:
+            self.words[w] = self.parts[m[1]] + self.marks[m[2]] if (m := plain.get(w)) else self.parts[w]
+
+    def _learn_parts(self, words: list[str]) -> None:
         """Ids of words that follow a space, all in one text: a word starts where an id starts with a space."""
         if not words:
             return
@@ -62,12 +75,15 @@ class Encoder:
             raise ValueError("the tokenizer does not cut texts at single spaces")
         data, width = ids.tobytes(), self.kind.itemsize
         for word, a, b in zip(words, starts, [*starts[1:], len(ids)]):
-            self.words[word] = data[a * width : b * width]
+            self.parts[word] = data[a * width : b * width]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids, each text followed by the end id."""
         if len(self.words) > CACHED:
             self.words.clear()
+        if len(self.parts) > CACHED:
+            self.parts.clear()
+            self.marks.clear()
         # The first word follows no space; a text with other white space next to a space is encoded as a whole.
         cut = [[t] if any(u in t for u in _UNEVEN) or _RARE_SPACE.search(t) else t.split(" ") for t in texts]
         first = self._ids([c[0] for c in cut])
