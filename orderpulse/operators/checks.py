@@ -7,20 +7,20 @@ from pyspark.sql import functions as F
 
 from orderpulse import vocabulary as v
 from orderpulse.functions.lifecycle import is_legal_step
-from orderpulse.operators.skew import GROUP_LIMIT, with_previous
+from orderpulse.operators.skew import with_previous
 
 DRIVER_EVENTS = ("order_picked_up", "order_delivered")
 
 
-def illegal_transitions(events: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
+def illegal_transitions(events: DataFrame) -> DataFrame:
     """Events that may not follow the one before them in their order."""
     steps = with_previous(
         events.select("order_id", "event_id", "occurred_at", "event_type"),
-        "order_id",
-        ["occurred_at", "event_id"],
-        "event_type",
-        "previous_type",
-        limit,
+        key="order_id",
+        time="occurred_at",
+        tie="event_id",
+        value="event_type",
+        alias="previous_type",
     )
     return steps.filter(~is_legal_step(F.col("previous_type"), F.col("event_type")))
 

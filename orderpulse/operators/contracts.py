@@ -15,11 +15,9 @@ from pyspark.sql import functions as F
 
 from orderpulse import vocabulary as v
 
-# Every stage at or after the one before it.
-LIFECYCLE_ORDER = (
-    "confirmed_at >= placed_at and prepared_at >= confirmed_at "
-    "and picked_up_at >= prepared_at and delivered_at >= picked_up_at"
-)
+STAGE_TIMES = ("placed_at", "confirmed_at", "prepared_at", "picked_up_at", "delivered_at")
+# No stage before the one ahead of it.
+LIFECYCLE_ORDER = " AND ".join(f"{a} <= {b}" for a, b in zip(STAGE_TIMES, STAGE_TIMES[1:]))
 
 
 # ---- failing rows --------------------------------------------------------------------

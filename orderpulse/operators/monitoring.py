@@ -36,17 +36,22 @@ def layer_stats(
     return reduce(DataFrame.unionByName, [*layers, models])
 
 
+def every_layer(stats: DataFrame) -> DataFrame:
+    """One row per layer in order, whether it has statistics or not."""
+    ranked = F.posexplode(F.array(*[F.lit(name) for name in v.LAYERS])).alias("_place", "layer")
+    layers = stats.sparkSession.range(1).select(ranked)
+    layers = layers.select((F.col("_place") + 1).alias("layer_rank"), "layer")
+    return layers.join(stats, "layer", "left")
+
+
 def layer_reconciliation(stats: DataFrame) -> DataFrame:
     """Rows each layer dropped against the layer before; NULL when either is unknown."""
-    names = list(v.LAYERS)
-    rank = F.array_position(F.array(*[F.lit(name) for name in names]), F.col("layer")).cast("int")
     notes = F.create_map(*[F.lit(text) for pair in v.LAYERS.items() for text in pair])
     # One row per layer.
     before = F.lag("row_count").over(Window.orderBy("layer_rank"))
     dropped = F.col("_before") - F.col("row_count")
     return (
-        stats.filter(F.col("layer").isin(*names))
-        .withColumn("layer_rank", rank)
+        every_layer(stats)
         .withColumn("_before", before)
         .select(
             "layer_rank",
@@ -77,10 +82,10 @@ def outage_verdict(minutes: Column, outage_minutes: int = v.OUTAGE_MINUTES) -> C
 
 
 def freshness(stats: DataFrame, now: datetime, stale_hours: int = v.STALE_HOURS) -> DataFrame:
-    """Age, state, texts and alerts per layer at the time `now`."""
+    """Age, state, texts and alerts of every layer at the time `now`."""
     age = F.col("age_minutes")
     return (
-        stats.filter(F.col("layer").isin(*v.LAYERS))
+        every_layer(stats)
         .select("layer", "last_event_at", minutes_since(F.col("last_event_at"), now).alias("age_minutes"))
         .withColumns(
             {
@@ -98,12 +103,11 @@ def missing_hours(
     rows: DataFrame,
     time: str,
     now: datetime | None = None,
-    cap_hours: int | None = v.BACKFILL_HOURS,
+    cap_hours: int | None = None,
 ) -> DataFrame:
     """Hours without a row, up to the hour before `now` (default: up to the newest row).
 
-    With a cap only the last `cap_hours` are looked at; without one, everything since the
-    oldest row. The hours expected are generated, so they are bounded by the calendar.
+    Looks at everything since the oldest row, or with a cap only at the last `cap_hours` of it. The hours expected are generated, so they are bounded by the calendar.
     """
     hour = F.date_trunc("HOUR", time)
     known = rows.filter(F.col(time).isNotNull())
@@ -117,7 +121,7 @@ def missing_hours(
             known = known.filter(F.col(time) >= this_hour - F.make_interval(hours=F.lit(cap_hours)))
     first = F.col("oldest")
     if cap_hours is not None:
-        first = last - F.make_interval(hours=F.lit(cap_hours - 1))
+        first = F.greatest(first, last - F.make_interval(hours=F.lit(cap_hours - 1)))
     span = F.sequence(first, last, F.make_interval(hours=F.lit(1)))
     expected = ends.filter(first <= last).select(F.explode(span).alias("hr"))
     return expected.join(known.select(hour.alias("hr")).distinct(), "hr", "left_anti")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from orderpulse.operators.contracts import enforce
+from orderpulse.session import store_times_with_statistics
 
 
 def publish(
@@ -24,7 +26,11 @@ def publish(
     they were. Publishing moves no data; earlier versions stay in `folder` (default: the
     warehouse) until removed. Returns the report.
     """
+    store_times_with_statistics(spark)
     folder = folder or spark.conf.get("spark.sql.warehouse.dir")
+    default = folder.removeprefix("file:") == f"{os.getcwd()}/spark-warehouse"
+    if default and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.sql.warehouse.dir to a folder every executor can reach")
     path = f"{folder.rstrip('/')}/versions/{name}-{uuid.uuid4().hex}"
     rows.write.parquet(path)
     written = spark.read.parquet(path)

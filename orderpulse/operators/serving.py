@@ -38,14 +38,15 @@ def volume_vs_baseline(
     """
     window_hours = int(v.WINDOW_HOURS.get(window, window))
     placed = F.col("placed_at").cast("timestamp")
-    newest = orders.agg(F.max(placed)).scalar()
-    shown_from = newest - F.make_interval(hours=F.lit(window_hours))
-    baseline_from = newest - F.make_interval(days=F.lit(v.BASELINE_DAYS))
+    longest = max(window_hours, 24 * v.BASELINE_DAYS)
+    # One subquery that gives the bound itself: only such a value is pushed to the scan.
+    earliest = orders.agg(F.max(placed) - F.make_interval(hours=F.lit(longest))).scalar()
+    shown_from = earliest + F.make_interval(hours=F.lit(longest - window_hours))
+    baseline_from = earliest + F.make_interval(hours=F.lit(longest - 24 * v.BASELINE_DAYS))
     in_window = placed >= shown_from
     in_baseline = placed >= baseline_from
     if exclude_current:
         in_baseline = in_baseline & ~in_window
-    earliest = newest - F.make_interval(hours=F.lit(max(window_hours, 24 * v.BASELINE_DAYS)))
     hours = (
         orders.filter(placed >= earliest)
         .groupBy(F.date_trunc("HOUR", placed).alias("hr"))

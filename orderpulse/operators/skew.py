@@ -1,110 +1,37 @@
-"""Helpers that keep one hot key from becoming one huge task.
+"""A helper that keeps one hot key from becoming one huge task.
 
-Aggregates need none of this: Spark combines them before the shuffle. These helpers
-serve the order-dependent and row-building steps, where a group would otherwise be
-collected whole.
+Aggregates need none of this: Spark combines them before the shuffle. Order-dependent steps would
+otherwise bring all rows of a key to one task.
 """
 
 from __future__ import annotations
 
-from math import ceil
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderpulse.session import shared_folder, work_folder
-
-# Largest group handed to a single window or array.
-GROUP_LIMIT = 1_000_000
-BASKET_LIMIT = 10_000
-# Heavy keys are counted; up to this many are sent to every task, more are joined by shuffle.
-BROADCAST_KEYS = 10_000
-# Most ranges for hot keys; each also is one row of the border frame.
-MAX_RANGES = 50_000
-
-
-def heavy_keys(rows: DataFrame, key: str, limit: int) -> DataFrame | None:
-    """Keys with more than `limit` rows, or None when there are none, as is usual.
-
-    Counting combines before the shuffle. What is found, at most rows / limit keys, is
-    stored, so that the steps after it agree on it and do not count again.
-    """
-    heavy = (
-        rows.groupBy(F.col(key).alias("_key"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > limit)
-    )
-    found = heavy.count()
-    if found == 0:
-        return None
-    shared_folder(rows.sparkSession)
-    heavy = heavy.checkpoint()
-    return F.broadcast(heavy) if found <= BROADCAST_KEYS else heavy
-
 
 def with_previous(
-    rows: DataFrame,
-    key: str,
-    order: list[str],
-    value: str,
-    alias: str,
-    limit: int = GROUP_LIMIT,
+    rows: DataFrame, key: str, time: str, tie: str, value: str, alias: str, unit: str = "HOUR"
 ) -> DataFrame:
-    """Add `value` of the row before, within `key`, ordered by `order`.
+    """Add `value` of the row before, within `key`, ordered by `time`, then `tie`, which is unique within a key.
 
-    `order` must be unique within a key. Keys up to `limit` rows use a plain window, so
-    each window group is bounded. Larger keys are cut into ranges of the order columns
-    and joined up at the range borders, so any size spreads over all tasks.
+    A key's rows are looked at per `unit` of time, and the last row of each unit is carried to the key's
+    next one. So a key spreads over as many tasks as it has units, one plan serves every size, and nothing
+    is counted first. The carried rows, one per key and unit, are the only ones that meet by key.
     """
-    heavy = heavy_keys(rows, key, limit)
-    by_key = Window.partitionBy(key).orderBy(*order)
-    if heavy is None:
-        return rows.withColumn(alias, F.lag(value).over(by_key))
-    match = F.col(key).eqNullSafe(F.col("_key"))
-    light = rows.join(heavy, match, "left_anti").withColumn(alias, F.lag(value).over(by_key))
-    hot = rows.join(heavy, match, "left_semi")
-    ranges = min(ceil(heavy.agg(F.sum("_rows")).first()[0] / limit), MAX_RANGES)
-    return light.unionByName(_previous_across_ranges(hot, key, order, value, alias, ranges))
-
-
-def _previous_across_ranges(
-    rows: DataFrame, key: str, order: list[str], value: str, alias: str, ranges: int
-) -> DataFrame:
-    spark, sorting = rows.sparkSession, [key, *order]
-    width = max(ranges, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # Written out to freeze the range borders: both readers below must see the same ones.
-    path = work_folder(spark, "ranges")
-    numbered = rows.repartitionByRange(width, *sorting).withColumn("_range", F.spark_partition_id())
-    numbered.write.parquet(path)
-    ranged = spark.read.schema(numbered.schema).parquet(path)
-    carried = F.struct(F.col(key).alias("key"), F.col(value).alias("value"))
-    in_range = Window.partitionBy("_range").orderBy(*sorting)
-    ends = ranged.groupBy("_range").agg(F.max_by(carried, F.struct(*sorting)).alias("_end"))
-    # One row per range, so one window and a broadcast are safe.
-    borders = ends.select(
-        "_range", F.lag("_end").over(Window.orderBy("_range")).alias("_before")
+    order = [F.col(time), F.col(tie)]
+    split = rows.withColumn("_unit", F.date_trunc(unit, time))
+    carried = F.struct(F.col(value).alias("value"))
+    ends = split.groupBy(F.col(key).alias("_key"), F.col("_unit").alias("_of")).agg(
+        F.max_by(carried, F.struct(*order)).alias("_end")
     )
-    before = F.coalesce(F.col("_within"), F.col("_before"))
+    before = F.lag("_end").over(Window.partitionBy("_key").orderBy("_of"))
+    borders = ends.select("_key", "_of", before.alias("_before"))
+    within = F.lag(carried).over(Window.partitionBy(key, "_unit").orderBy(*order))
+    met = F.col(key).eqNullSafe(F.col("_key")) & F.col("_unit").eqNullSafe(F.col("_of"))
     return (
-        ranged.withColumn("_within", F.lag(carried).over(in_range))
-        .join(F.broadcast(borders), "_range")
-        .withColumn(alias, F.when(before["key"].eqNullSafe(F.col(key)), before["value"]))
+        split.withColumn("_within", within)
+        .join(borders, met)
+        .withColumn(alias, F.coalesce("_within", "_before")["value"])
         .select(*rows.columns, alias)
     )
-
-
-def with_lanes(rows: DataFrame, key: str, limit: int, alias: str = "lane") -> DataFrame:
-    """Number the rows of oversized keys into lanes of about `limit` rows; others get lane 0."""
-    heavy = heavy_keys(rows, key, limit)
-    if heavy is None:
-        return rows.withColumn(alias, F.lit(0).cast("bigint"))
-    lanes = heavy.select("_key", F.ceil(F.col("_rows") / F.lit(limit)).alias("_lanes"))
-    # Numbered where the rows are read, before any shuffle, so a retried task numbers alike;
-    # consecutive rows of a task go round-robin.
-    lane = F.pmod(F.col("_number"), F.col("_lanes"))
-    return (
-        rows.withColumn("_number", F.monotonically_increasing_id())
-        .join(lanes, F.col(key).eqNullSafe(F.col("_key")), "left")
-        .withColumn(alias, F.coalesce(lane, F.lit(0)).cast("bigint"))
-        .drop("_key", "_lanes", "_number")
-    )

@@ -7,10 +7,11 @@ failed contract of severity error raises, so later layers are not touched.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from orderpulse.operators import contracts, facts, mart
 from orderpulse.operators.publish import publish
-from orderpulse.schemas import DIMENSIONS
+from orderpulse.schemas import DIMENSIONS, ITEM
 from orderpulse.sources.dimensions import read_dimension
 from orderpulse.sources.events import stream_events
 from orderpulse.sources.tables import Layers, clustered, refresh
@@ -68,8 +69,8 @@ def build_gold(spark: SparkSession, layers: Layers, events: DataFrame | None = N
     for landed, table in GOLD_DIMENSIONS.items():
         report += put(table, facts.dimension(layers.read(spark, "bronze", f"dim_{landed}")))
     report += put("fct_order_events", facts.order_event_log(silver))
-    if "items" in silver.columns:
-        report += put("fct_order_items", facts.order_items(silver))
+    basket = silver if "items" in silver.columns else silver.withColumn("items", F.lit(None).cast(f"array<{ITEM}>"))
+    report += put("fct_order_items", facts.order_items(basket))
     # Readers ask for date ranges, and the aggregate leaves every date in every file.
     orders = clustered(facts.order_lifecycle(silver), "placed_at", "order_id")
     report += put("fct_orders", orders)

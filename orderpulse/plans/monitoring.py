@@ -23,6 +23,10 @@ def stats(spark, sf_dir) -> DataFrame:
     return monitoring.layer_stats(bronze, silver, facts.order_event_log(silver), len(v.GOLD_TABLES))
 
 
+def without_silver(spark, sf_dir) -> DataFrame:
+    return stats(spark, sf_dir).filter("layer <> 'silver'")
+
+
 def missing_hours(cap: int | None):
     def run(spark, sf_dir) -> DataFrame:
         return monitoring.missing_hours(orders(spark, sf_dir), "placed_at", cap_hours=cap)
@@ -38,6 +42,8 @@ QUERIES = {
     "layer_stats": stats,
     "layer_reconciliation": lambda s, d: monitoring.layer_reconciliation(stats(s, d)),
     "freshness": lambda s, d: monitoring.freshness(stats(s, d), NOW),
+    "layer_reconciliation_missing": lambda s, d: monitoring.layer_reconciliation(without_silver(s, d)),
+    "freshness_missing": lambda s, d: monitoring.freshness(without_silver(s, d), NOW),
     "missing_hours": missing_hours(v.BACKFILL_HOURS),
     "missing_hours_all": missing_hours(None),
     "last_write_per_layer": last_write_per_layer,
@@ -67,17 +73,17 @@ def _gaps(first: str) -> str:
     )
 
 
-ORACLES = {
-    "layer_stats": _STATS + "SELECT * FROM stats",
-    "layer_reconciliation": _STATS
-    + f"""SELECT layer_rank, upper(layer[1]) || layer[2:] AS layer, row_count,
+_NO_SILVER = _STATS.replace(
+    "UNION ALL SELECT 'silver', count(*), max(occurred_at) FROM deduped",
+    "UNION ALL SELECT 'silver', CAST(NULL AS BIGINT), CAST(NULL AS TIMESTAMP)",
+)
+_RECONCILE = f"""SELECT layer_rank, upper(layer[1]) || layer[2:] AS layer, row_count,
             before - row_count AS dropped, (before - row_count) / before * 100 AS dropped_pct,
             {_NOTES}[layer] AS why
           FROM (SELECT *, lag(row_count) OVER (ORDER BY layer_rank) AS before
                 FROM (SELECT *, CAST(list_position(['bronze', 'silver', 'gold'], layer) AS INTEGER)
-                        AS layer_rank FROM stats WHERE layer <> 'models'))""",
-    "freshness": _STATS
-    + f"""SELECT layer, last_event_at, m AS age_minutes,
+                        AS layer_rank FROM stats WHERE layer <> 'models'))"""
+_FRESHNESS = f"""SELECT layer, last_event_at, m AS age_minutes,
             CASE WHEN m IS NULL THEN 'unknown' WHEN m < 10080 THEN 'live' ELSE 'delayed' END AS state,
             t AS age_text,
             CASE WHEN m IS NULL THEN 'no data yet' WHEN m < 1 THEN t ELSE t || ' ago' END AS ago_text,
@@ -90,7 +96,14 @@ ORACLES = {
                     CASE WHEN w % 60 > 0 THEN ' ' || (w % 60) || ' min' ELSE '' END
                   ELSE w || ' min' END AS t
                 FROM (SELECT *, (epoch_us(TIMESTAMP '{NOW}') - epoch_us(last_event_at)) / 60000000.0 AS m,
-                        CAST(floor(m) AS BIGINT) AS w FROM stats WHERE layer <> 'models'))""",
-    "missing_hours": _gaps(f"max(hr) - INTERVAL {v.BACKFILL_HOURS - 1} HOUR"),
+                        CAST(floor(m) AS BIGINT) AS w FROM stats WHERE layer <> 'models'))"""
+
+ORACLES = {
+    "layer_stats": _STATS + "SELECT * FROM stats",
+    "layer_reconciliation": _STATS + _RECONCILE,
+    "freshness": _STATS + _FRESHNESS,
+    "layer_reconciliation_missing": _NO_SILVER + _RECONCILE,
+    "freshness_missing": _NO_SILVER + _FRESHNESS,
+    "missing_hours": _gaps("greatest(min(hr), max(hr) - INTERVAL 167 HOUR)"),
     "missing_hours_all": _gaps("min(hr)"),
 }

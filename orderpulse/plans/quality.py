@@ -116,7 +116,8 @@ _LEGAL = " OR ".join(
         for step in steps
     ]
 )
-_LATER = contracts.LIFECYCLE_ORDER
+_LATER = """placed_at <= confirmed_at AND confirmed_at <= prepared_at
+  AND prepared_at <= picked_up_at AND picked_up_at <= delivered_at"""
 
 ORACLES = {
     "orphan_keys": duck.with_tables(duck.ORDERS, duck.DIMENSIONS)

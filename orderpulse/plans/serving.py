@@ -13,6 +13,10 @@ TODAY = date(2024, 1, 31)
 VENDOR_START, VENDOR_END = date(1997, 1, 1), date(1999, 12, 31)
 
 
+def in_range(spark, sf_dir):
+    return serving.placed_between(orders(spark, sf_dir), VENDOR_START, VENDOR_END)
+
+
 def top_vendors(spark, sf_dir):
     placed = serving.placed_between(testdata.order_facts(spark, sf_dir), VENDOR_START, VENDOR_END)
     return serving.top_vendors(placed, testdata.vendors(spark, sf_dir))
@@ -23,6 +27,8 @@ QUERIES = {
     "volume_vs_baseline": lambda s, d: serving.volume_vs_baseline(orders(s, d)),
     "volume_vs_baseline_14d": lambda s, d: serving.volume_vs_baseline(orders(s, d), "14d"),
     "hour_heatmap": lambda s, d: serving.hour_heatmap(orders(s, d)),
+    "hour_heatmap_range": lambda s, d: serving.hour_heatmap(in_range(s, d)),
+    "cancellation_reasons_range": lambda s, d: serving.cancellation_reasons(in_range(s, d)),
     "hour_heatmap_wide": lambda s, d: serving.hour_heatmap_wide(orders(s, d), TODAY),
     "top_vendors": top_vendors,
     "cancellation_reasons": lambda s, d: serving.cancellation_reasons(orders(s, d)),
@@ -32,22 +38,20 @@ QUERIES = {
 def _volume(hours: int) -> str:
     return (
         duck.with_tables(duck.ORDERS)
-        + f""", newest AS (SELECT max(placed_at) AS top FROM fct_orders),
-        hourly AS (
-          SELECT date_trunc('hour', placed_at) AS hr, count(*) AS orders
-          FROM fct_orders, newest WHERE placed_at >= top - INTERVAL {hours} HOUR GROUP BY 1
+        + f""", placed AS (
+          SELECT placed_at AS t, max(placed_at) OVER () - placed_at AS age FROM fct_orders WHERE placed_at IS NOT NULL
         ),
-        baseline AS (
-          SELECT hour(hr) AS hour_of_day, avg(cnt) AS expected
-          FROM (SELECT date_trunc('hour', placed_at) AS hr, count(*) AS cnt
-                FROM fct_orders, newest WHERE placed_at >= top - INTERVAL 7 DAY GROUP BY 1)
-          GROUP BY 1
-        )
-        SELECT hr, orders, round(expected, 0) AS expected
-        FROM hourly JOIN baseline ON hour(hr) = hour_of_day"""
+        per_hour AS (
+          SELECT date_trunc('hour', t) AS hr, count(*) FILTER (WHERE age <= INTERVAL {hours} HOUR) AS orders,
+            count(*) FILTER (WHERE age <= INTERVAL 168 HOUR) AS week
+          FROM placed GROUP BY ALL
+        ),
+        leveled AS (SELECT hr, orders, avg(nullif(week, 0)) OVER (PARTITION BY hour(hr)) AS level FROM per_hour)
+        SELECT hr, orders, round(level, 0) AS expected FROM leveled WHERE orders > 0 AND level IS NOT NULL"""
     )
 
 
+_RANGE = f"placed_at >= TIMESTAMP '{VENDOR_START}' AND placed_at < TIMESTAMP '{VENDOR_END}' + INTERVAL 1 DAY"
 _HEATMAP = """SELECT CAST(dayofweek(placed_at) + 1 AS INTEGER) AS dow,
     CAST(hour(placed_at) AS INTEGER) AS hour_of_day, count(*) AS orders
   FROM fct_orders WHERE placed_at IS NOT NULL GROUP BY 1, 2"""
@@ -58,6 +62,14 @@ _CELLS = ", ".join(
 )
 _TODAY_CODE = TODAY.isoweekday() % 7 + 1
 
+_REASONS = """SELECT cancelled_by, cancel_reason, count(*) AS cnt, any_value(who) AS actor,
+    CAST(any_value(CASE who WHEN 'customer' THEN 1 WHEN 'vendor' THEN 2 WHEN 'driver' THEN 3 WHEN 'system' THEN 4
+      ELSE 5 END) AS INTEGER) AS actor_rank,
+    any_value(replace(cancel_reason, '_', ' ')) AS reason_label
+  FROM (SELECT *, if(coalesce(cancelled_by, '') IN ('customer', 'vendor', 'driver', 'system'), cancelled_by, 'other') AS who
+        FROM fct_orders WHERE final_status = 'cancelled' AND {})
+  GROUP BY cancelled_by, cancel_reason"""
+
 ORACLES = {
     "hourly_volume": duck.with_tables(duck.ORDERS)
     + """SELECT date_trunc('hour', placed_at) AS hr, count(*) AS orders
@@ -70,19 +82,15 @@ ORACLES = {
             CAST((dow - {_TODAY_CODE} - 1 + 14) % 7 AS INTEGER) AS day_rank, {_CELLS}
           FROM ({_HEATMAP}) GROUP BY dow""",
     "top_vendors": duck.with_tables(duck.ORDER_FACTS, duck.DIMENSIONS)
-    + f"""SELECT v.name AS vendor_name, v.cuisine_type, count(o.order_id) AS orders,
-            CAST(sum(o.gmv) FILTER (WHERE o.final_status = 'delivered') AS BIGINT) AS gmv,
-            round(count(*) FILTER (WHERE o.final_status = 'cancelled') / count(*), 3) AS cancellation_rate
-          FROM order_facts o JOIN dim_vendor v ON o.vendor_id = v.vendor_id
-          WHERE CAST(o.placed_at AS DATE) BETWEEN DATE '{VENDOR_START}' AND DATE '{VENDOR_END}'
-          GROUP BY 1, 2 ORDER BY gmv DESC NULLS LAST, vendor_name, cuisine_type LIMIT 10""",
-    "cancellation_reasons": duck.with_tables(duck.ORDERS)
-    + """SELECT cancelled_by, cancel_reason, cnt,
-           CASE WHEN cancelled_by IN ('customer', 'vendor', 'driver', 'system')
-                THEN cancelled_by ELSE 'other' END AS actor,
-           CAST(list_position(['customer', 'vendor', 'driver', 'system', 'other'], actor) AS INTEGER)
-             AS actor_rank,
-           replace(cancel_reason, '_', ' ') AS reason_label
-         FROM (SELECT cancelled_by, cancel_reason, count(*) AS cnt FROM fct_orders
-               WHERE final_status = 'cancelled' AND placed_at IS NOT NULL GROUP BY 1, 2)""",
+    + f""", sales AS (
+            SELECT vendor_id, count(*) AS orders, sum(gmv) FILTER (WHERE final_status = 'delivered') AS gmv,
+              avg(CASE final_status WHEN 'cancelled' THEN 1.0 ELSE 0.0 END) AS share
+            FROM order_facts WHERE {_RANGE} GROUP BY vendor_id)
+          SELECT name AS vendor_name, cuisine_type, CAST(sum(orders) AS BIGINT) AS orders, CAST(sum(gmv) AS BIGINT) AS gmv,
+            round(sum(share * orders) / sum(orders), 3) AS cancellation_rate
+          FROM dim_vendor JOIN sales USING (vendor_id) GROUP BY ALL
+          ORDER BY gmv DESC NULLS LAST, vendor_name, cuisine_type LIMIT 10""",
+    "cancellation_reasons": duck.with_tables(duck.ORDERS) + _REASONS.format("placed_at IS NOT NULL"),
+    "cancellation_reasons_range": duck.with_tables(duck.ORDERS) + _REASONS.format(_RANGE),
+    "hour_heatmap_range": duck.with_tables(duck.ORDERS) + _HEATMAP.replace("placed_at IS NOT NULL", _RANGE),
 }

@@ -18,6 +18,8 @@ CLUSTER_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # Times with minimum and maximum in the file footers, so that time ranges skip files.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Dedup on event_id alone never forgets an id, so its state must live on disk.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -39,6 +41,11 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def store_times_with_statistics(spark: SparkSession) -> None:
+    """Stored times carry no minimum and maximum in Spark's default format; called before tables are written."""
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a temporary one only in local mode."""
     context = spark.sparkContext

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderpulse.session import store_times_with_statistics
+
 
 @dataclass(frozen=True)
 class Layers:
@@ -45,6 +47,7 @@ def clustered(rows: DataFrame, *columns: str) -> DataFrame:
 
 def refresh(rows: DataFrame, name: str) -> None:
     """Replace a derived table by its newly computed rows."""
+    store_times_with_statistics(rows.sparkSession)
     rows.write.mode("overwrite").format("parquet").saveAsTable(name)
 
 
@@ -53,6 +56,7 @@ def refresh_bucketed(rows: DataFrame, name: str, key: str, buckets: int) -> None
 
     All rows of a key share a file, so this is for keys without a hot value.
     """
+    store_times_with_statistics(rows.sparkSession)
     (
         rows.repartition(buckets, key)
         .write.mode("overwrite")

@@ -65,8 +65,8 @@ KIND = """
        WHEN event_type = 'signup' THEN 'order_picked_up'
        WHEN event_type = 'purchase' THEN 'order_delivered'
        WHEN k < 90 THEN 'order_cancelled'
-       WHEN k < 95 THEN 'order_shared_to_social'
-       ELSE 'delivery_photo_uploaded' END AS kind"""
+       WHEN k < 95 THEN 'basket_reordered'
+       ELSE 'tip_requested' END AS kind"""
 
 EVENT_COLUMNS = {
     "event_id": "string(event_id)",
@@ -74,7 +74,7 @@ EVENT_COLUMNS = {
     "order_id": "concat_ws('-', string(user_id), string(to_date(ts)))",
     "occurred_at": "timestamp(ts)",
     "customer_id": "if(k = 13 AND kind = 'order_confirmed', NULL, string(user_id))",
-    "vendor_id": """CASE WHEN k = 77 THEN 'vend_999'
+    "vendor_id": """CASE WHEN k = 77 THEN 'vendor-unlisted'
                          WHEN NOT (k = 14 AND kind = 'order_confirmed') THEN string(user_id % 10) END""",
     "driver_id": "if(kind IN ('order_picked_up', 'order_delivered') AND k % 10 <> 0, string(k % 10), NULL)",
     "gmv": "if(kind = 'order_placed', cents + service - cut + if(k < 97, 200, 0), NULL)",
@@ -89,7 +89,7 @@ EVENT_COLUMNS = {
     "cancel_reason": """if(kind = 'order_cancelled', element_at(
         array('changed_mind', 'too_busy', 'payment_failed'), k % 3 + 1), NULL)""",
     "vehicle_type": """if(kind = 'order_picked_up', element_at(
-        array('bicycle', 'motorbike', 'car'), k % 3 + 1), NULL)""",
+        array('cargo bike', 'scooter', 'van'), k % 3 + 1), NULL)""",
     "items": f"CAST(NULL AS array<{schemas.ITEM}>)",
 }
 

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from orderpulse import vocabulary as v
 from orderpulse.operators.cleaning import flatten, with_event_time
+from orderpulse.session import store_times_with_statistics
 
 # Copies of one event are thinned out in up to this many lanes before they meet in one task.
 # More lanes cost nothing for events without copies.
@@ -61,6 +62,7 @@ def append(
 
     The checkpoint records which input was taken, so each input row counts exactly once.
     """
+    store_times_with_statistics(rows.sparkSession)
     writer = (
         rows.writeStream.format("parquet")
         .outputMode("append")
@@ -73,10 +75,17 @@ def append(
 
 
 def run_available(writer: DataStreamWriter, table: str | None = None) -> list:
-    """Process everything that has arrived, then stop. Returns the progress reports."""
+    """Process everything that has arrived, then stop. Returns the progress reports of all batches.
+
+    Spark keeps the newest reports only, so they are taken over while the query runs."""
     query = writer.toTable(table) if table else writer.start()
-    query.awaitTermination()
-    return query.recentProgress
+    reports, done = {}, False
+    while not done:
+        done = query.awaitTermination(0.2)
+        reports |= {report.batchId: report for report in query.recentProgress}
+    if reports and len(reports) <= max(reports) - min(reports):
+        raise RuntimeError("progress reports of some batches are missing")
+    return [reports[batch] for batch in sorted(reports)]
 
 
 def drop_counts(progress: list) -> dict[str, int]:

@@ -34,22 +34,22 @@ def event(event_id, stage, order, time, customer, vendor, driver=None, money=(),
 
 
 def _delivered(first: int, order: str, day: int, hour: int, money, delivered: datetime):
-    who = ("cust_001", "vend_001")
-    ids = [f"evt_{first + i:03d}" for i in range(5)]
+    who = ("guest-ada", "kitchen-elm")
+    ids = [f"log-{40 + first + i}" for i in range(5)]
     return [
         event(ids[0], "placed", order, at(day, f"{hour}:00"), *who, money=money),
-        event(ids[1], "confirmed", order, at(day, f"{hour}:02"), *who),
-        event(ids[2], "prepared", order, at(day, f"{hour}:20"), *who),
-        event(ids[3], "picked_up", order, at(day, f"{hour}:25"), *who, "driv_001"),
-        event(ids[4], "delivered", order, delivered, *who, "driv_001"),
+        event(ids[1], "confirmed", order, at(day, f"{hour}:04"), *who),
+        event(ids[2], "prepared", order, at(day, f"{hour}:22"), *who),
+        event(ids[3], "picked_up", order, at(day, f"{hour}:31"), *who, "rider-kai"),
+        event(ids[4], "delivered", order, delivered, *who, "rider-kai"),
     ]
 
 
 CLEAN = [
-    *_delivered(1, "ord_001", 1, 10, (1500, 1000, 200, 50, 0), at(1, "10:50")),
-    event("evt_006", "placed", "ord_002", at(1, "11:00"), "cust_002", "vend_002", money=(800, 500, 200, 30, 0)),
+    *_delivered(1, "ticket-a", 1, 10, (1980, 1400, 260, 70, 0), at(1, "10:50")),
+    event("log-46", "placed", "ticket-b", at(1, "11:00"), "guest-bo", "kitchen-fir", money=(640, 350, 260, 45, 0)),
     event(
-        "evt_007", "cancelled", "ord_002", at(1, "11:01"), "cust_002", "vend_002",
+        "log-47", "cancelled", "ticket-b", at(1, "11:01"), "guest-bo", "kitchen-fir",
         cancel=("customer", "changed_mind"),
     ),
 ]
@@ -58,12 +58,12 @@ CLEAN = [
 # event id, a missing event id.
 BAD = [
     *CLEAN,
-    event("evt_008", "placed", "ord_003", at(2, "10:00"), "cust_001", "vend_001", money=(-50, 300, 200, 12, 500)),
-    event("evt_009", "placed", "ord_004", at(2, "11:00"), "cust_001", "vend_999", money=(1000, 700, 200, 40, 0)),
-    event("evt_010", "shared_to_social", "ord_005", at(2, "12:00"), "cust_001", "vend_001"),
-    *_delivered(11, "ord_006", 2, 13, (1200, 800, 200, 40, 0), at(2, "12:00")),
-    event("evt_001", "placed", "ord_007", at(2, "14:00"), "cust_002", "vend_002", money=(900, 600, 200, 35, 0)),
-    event(None, "confirmed", "ord_007", at(2, "14:02"), "cust_002", "vend_002"),
+    event("log-48", "placed", "ticket-c", at(2, "10:00"), "guest-ada", "kitchen-elm", money=(-75, 310, 260, 15, 660)),
+    event("log-49", "placed", "ticket-d", at(2, "11:00"), "guest-ada", "kitchen-closed", money=(1110, 790, 260, 55, 0)),
+    event("log-50", "coupon_viewed", "ticket-e", at(2, "12:00"), "guest-ada", "kitchen-elm"),
+    *_delivered(11, "ticket-f", 2, 13, (1310, 930, 260, 65, 0), at(2, "12:00")),
+    event("log-41", "placed", "ticket-g", at(2, "14:00"), "guest-bo", "kitchen-fir", money=(870, 520, 260, 50, 0)),
+    event(None, "confirmed", "ticket-g", at(2, "14:02"), "guest-bo", "kitchen-fir"),
 ]
 
 
@@ -73,9 +73,9 @@ def events(spark: SparkSession, rows) -> DataFrame:
 
 def parents(spark: SparkSession) -> dict[str, DataFrame]:
     return {
-        "dim_vendor": spark.createDataFrame([("vend_001",), ("vend_002",)], "vendor_id string"),
-        "dim_customer": spark.createDataFrame([("cust_001",), ("cust_002",)], "customer_id string"),
-        "dim_driver": spark.createDataFrame([("driv_001",)], "driver_id string"),
+        "dim_vendor": spark.createDataFrame([("kitchen-elm",), ("kitchen-fir",)], "vendor_id string"),
+        "dim_customer": spark.createDataFrame([("guest-ada",), ("guest-bo",)], "customer_id string"),
+        "dim_driver": spark.createDataFrame([("rider-kai",)], "driver_id string"),
     }
 
 

@@ -12,10 +12,12 @@ from orderpulse.plans import build
 from orderpulse.sources.tables import Layers, table_count
 
 DIMS = {
-    "customers": "customer_id,name,email,phone,city,lat,lon,registration_date\ncust_001,A,a@x,1,Tokyo,35.6,139.6,2025-01-15\ncust_002,B,b@x,2,Osaka,34.6,135.5,2025-03-02\n",
-    "vendors": "vendor_id,name,cuisine_type,city,lat,lon,avg_prep_minutes,rating\nvend_001,Ramen House,Ramen,Tokyo,35.6,139.6,18,4.5\nvend_002,Sushi Place,Sushi,Tokyo,35.6,139.7,22,4.2\n",
-    "drivers": "driver_id,name,vehicle_type,city,rating\ndriv_001,C,motorbike,Tokyo,4.8\n",
-    "menu_items": "menu_item_id,vendor_id,name,category,price,is_available\nitem_001,vend_001,Ramen,Main,980,true\n",
+    "customers": "customer_id,name,email,phone,city,lat,lon,registration_date\n"
+    "guest-ada,Ada,ada@mail.test,555,Porto,41.1,-8.6,2023-11-30\nguest-bo,Bo,bo@mail.test,556,Braga,41.5,-8.4,2024-07-09\n",
+    "vendors": "vendor_id,name,cuisine_type,city,lat,lon,avg_prep_minutes,rating\n"
+    "kitchen-elm,Elm Grill,Grill,Porto,41.2,-8.7,25,3.9\nkitchen-fir,Fir Bakery,Bakery,Braga,41.6,-8.5,9,4.8\n",
+    "drivers": "driver_id,name,vehicle_type,city,rating\nrider-kai,Kai,scooter,Porto,4.1\n",
+    "menu_items": "menu_item_id,vendor_id,name,category,price,is_available\ndish-9,kitchen-elm,Skewers,Grill,1240,true\n",
 }
 MONEY = ("gmv", "food_cost", "delivery_fee", "service_fee", "discount")
 
@@ -27,8 +29,8 @@ def raw_lines(rows):
         payload = {}
         if seed["event_type"] == "order_placed":
             payload = {name: seed[name] for name in MONEY}
-            payload["items"] = [{"menu_item_id": "item_001", "name": "Ramen", "quantity": 1,
-                                 "unit_price": 980, "line_total": 980}]
+            payload["items"] = [{"menu_item_id": "dish-9", "name": "Skewers", "quantity": 1,
+                                 "unit_price": 1240, "line_total": 1240}]
         if seed["event_type"] == "order_cancelled":
             payload = {"cancelled_by": seed["cancelled_by"], "reason": seed["cancel_reason"]}
         head = {k: seed[k] for k in ("event_id", "event_type", "order_id", "customer_id", "vendor_id", "driver_id")}
@@ -76,12 +78,12 @@ def test_files_to_gold(spark, tmp_path):
     )
     assert fx.rows(stats, "layer", "row_count") == [("bronze", 14), ("gold", 7), ("models", 8), ("silver", 7)]
     assert fx.rows(gold("fct_orders"), "order_id", "final_status", "driver_id") == [
-        ("ord_001", "delivered", "driv_001"), ("ord_002", "cancelled", None)
+        ("ticket-a", "delivered", "rider-kai"), ("ticket-b", "cancelled", None)
     ]
     assert gold("fct_order_items").count() == 2
     assert gold("fct_daily_metrics").first().cancellation_rate == 0.5
     top = serving.top_vendors(gold("fct_orders"), gold("dim_vendor")).collect()
-    assert [(r.vendor_name, r.orders, r.gmv) for r in top] == [("Ramen House", 1, 1500), ("Sushi Place", 1, None)]
+    assert [(r.vendor_name, r.orders, r.gmv) for r in top] == [("Elm Grill", 1, 1980), ("Fir Bakery", 1, None)]
     issues = checks.known_issues(gold("fct_orders"), gold("fct_order_events"), gold("dim_vendor"))
     assert issues.first().total_issues == 0
 
@@ -108,7 +110,7 @@ def test_failed_fact_stops_the_mart(spark, tmp_path):
     ci = Layers(target="ci", ci_schema="e2e_stop")
     ci.create_schemas(spark)
     build.land_dimensions(spark, ci, str(tmp_path / "dims"))
-    rows = [r for r in fx.BAD if dict(zip(fx._FIELDS, r))["order_id"] in ("ord_001", "ord_003")]
+    rows = [r for r in fx.BAD if dict(zip(fx._FIELDS, r))["order_id"] in ("ticket-a", "ticket-c")]
     with pytest.raises(contracts.ContractViolation, match="accepted_range"):
         build.build_gold(spark, ci, fx.events(spark, rows))
     assert spark.catalog.tableExists("e2e_stop.fct_order_events")

@@ -14,11 +14,11 @@ def raw(spark, *records):
 
 
 def test_payload_shapes_become_flat_columns(spark):
-    item = {"menu_item_id": "m1", "name": "Ramen", "quantity": 2, "unit_price": 900, "line_total": 1800}
+    item = {"menu_item_id": "m1", "name": "Skewers", "quantity": 2, "unit_price": 900, "line_total": 1800}
     events = raw(
         spark,
         ({"event_id": "1", "occurred_at": "2024-01-15T12:00:00.250Z"},
-         {"items": [item], "gmv": 2000, "food_cost": 1800, "discount": 0, "delivery_address": "Tokyo"}),
+         {"items": [item], "gmv": 2000, "food_cost": 1800, "discount": 0, "delivery_address": "Porto"}),
         ({"event_id": "2", "occurred_at": "2024-01-15T12:01:00.000Z"}, {"estimated_prep_minutes": 18}),
         ({"event_id": "3", "occurred_at": "soon"}, {"cancelled_by": "driver", "reason": "vehicle_breakdown"}),
         ({"event_id": "4"}, {"driver_id": "d", "vehicle_type": "car", "platform": "x"}),

@@ -46,15 +46,15 @@ def test_bad_rows_fail_as_planted(spark):
 def test_failing_rows(spark):
     t = tables(spark, fx.BAD)
     orders, log = t["fct_orders"], t["fct_order_events"]
-    assert fx.rows(contracts.unique_failures(log, "event_id"), "event_id", "copies") == [("evt_001", 2)]
-    assert fx.rows(contracts.not_null_failures(log, "event_id"), "order_id") == [("ord_007",)]
+    assert fx.rows(contracts.unique_failures(log, "event_id"), "event_id", "copies") == [("log-41", 2)]
+    assert fx.rows(contracts.not_null_failures(log, "event_id"), "order_id") == [("ticket-g",)]
     bad = contracts.accepted_values_failures(log, "event_type", v.EVENT_TYPES, "occurred_at")
-    assert fx.rows(bad, "event_type", "rows", "first_seen") == [("order_shared_to_social", 1, fx.at(2, "12:00"))]
-    assert fx.rows(contracts.accepted_range_failures(orders, "gmv", low=0), "order_id") == [("ord_003",)]
+    assert fx.rows(bad, "event_type", "rows", "first_seen") == [("order_coupon_viewed", 1, fx.at(2, "12:00"))]
+    assert fx.rows(contracts.accepted_range_failures(orders, "gmv", low=0), "order_id") == [("ticket-c",)]
     late = contracts.expression_failures(orders, contracts.LIFECYCLE_ORDER)
-    assert fx.rows(late, "order_id") == [("ord_006",)]
+    assert fx.rows(late, "order_id") == [("ticket-f",)]
     orphans = contracts.orphan_keys(orders, "vendor_id", t["dim_vendor"], "vendor_id")
-    assert fx.rows(orphans, "vendor_id", "rows") == [("vend_999", 1)]
+    assert fx.rows(orphans, "vendor_id", "rows") == [("kitchen-closed", 1)]
 
 
 def test_lifecycle_rule_is_three_valued(spark):
@@ -108,7 +108,7 @@ def test_known_issues(spark):
 def test_conflicting_duplicates(spark):
     bad = fx.events(spark, [*fx.BAD, fx.BAD[2]])
     assert fx.rows(checks.conflicting_duplicates(bad), "*") == [
-        ("evt_001", 2, "ord_001", "order_placed", "ord_007", "order_placed")
+        ("log-41", 2, "ticket-a", "order_placed", "ticket-g", "order_placed")
     ]
 
 
@@ -130,16 +130,16 @@ def test_illegal_transitions(spark):
 def test_amounts(spark):
     orders = facts.order_lifecycle(fx.events(spark, fx.CLEAN))
     assert fx.rows(checks.amount_mismatches(orders), "*") == [
-        ("gmv", "ord_001", 1250, 1500), ("gmv", "ord_002", 730, 800)
+        ("gmv", "ticket-a", 1730, 1980), ("gmv", "ticket-b", 655, 640)
     ]
     items = spark.createDataFrame(
-        [("ord_001", 2, 300, 600), ("ord_001", 1, 400, 400), ("ord_002", 1, 100, 90)],
+        [("ticket-a", 2, 350, 700), ("ticket-a", 1, 700, 700), ("ticket-b", 1, 100, 90)],
         "order_id string, quantity bigint, unit_price bigint, line_total bigint",
     )
     assert fx.rows(checks.amount_identity(orders, items), "*") == sorted(
         [
-            ("gmv", "ord_001", 1250, 1500), ("gmv", "ord_002", 730, 800),
-            ("line_total", "ord_002", 100, 90), ("food_cost", "ord_002", 90, 500),
+            ("gmv", "ticket-a", 1730, 1980), ("gmv", "ticket-b", 655, 640),
+            ("line_total", "ticket-b", 100, 90), ("food_cost", "ticket-b", 90, 350),
         ],
         key=repr,
     )

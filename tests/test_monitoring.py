@@ -19,13 +19,21 @@ def reconcile(spark, *counts):
 
 
 def test_reconciliation(spark):
-    assert reconcile(spark, 758512, 727208, 727208) == [
-        (758512, None, None), (727208, 31304, 4.1), (727208, 0, 0.0)
+    assert reconcile(spark, 640000, 608000, 608000) == [
+        (640000, None, None), (608000, 32000, 5.0), (608000, 0, 0.0)
     ]
     assert reconcile(spark, None, 5, 5) == [(None, None, None), (5, None, None), (5, 0, 0.0)]
     assert reconcile(spark, 0, 0, None) == [(0, None, None), (0, 0, 0.0), (None, None, None)]
 
 
+def test_absent_layers_have_rows(spark):
+    stats = spark.createDataFrame([("bronze", 100, None), ("gold", 90, None)], STATS)
+    got = [(r.layer, r.row_count, r.dropped) for r in monitoring.layer_reconciliation(stats).collect()]
+    assert got == [("Bronze", 100, None), ("Silver", None, None), ("Gold", 90, None)]
+    states = {r.layer: r.state for r in monitoring.freshness(stats, datetime(2026, 6, 1)).collect()}
+    assert states == dict.fromkeys(("bronze", "silver", "gold"), "unknown")
+
+
 def minutes(spark, values, *columns):
     df = spark.createDataFrame([(i, x) for i, x in enumerate(values)], "i int, m double")
     return [tuple(r) for r in df.orderBy("i").select(*columns).collect()]
@@ -104,7 +112,7 @@ def test_missing_hours(spark, now, cap):
     df = spark.createDataFrame([(t,) for t in seen], "t timestamp")
     hours = {t.replace(minute=0) for t in seen if t}
     last = max(hours) if now is None else now.replace(minute=0) - timedelta(hours=1)
-    first = min(hours) if cap is None else last - timedelta(hours=cap - 1)
+    first = min(hours) if cap is None else max(min(hours), last - timedelta(hours=cap - 1))
     want, hour = [], first
     while hour <= last:
         want += [(hour,)] * (hour not in hours)

@@ -15,39 +15,24 @@ def log(spark):
     rows = []
     for i in range(1500):
         key = "hot" if i % 3 == 0 else None if i % 7 == 0 else f"o{rnd.randrange(200)}"
-        time = fx.at(1 + rnd.randrange(3), "10:00") if i % 11 else None
+        time = fx.at(1 + rnd.randrange(3), f"{rnd.randrange(8, 20):02d}:00") if i % 11 else None
         rows.append((key, f"e{i:05d}", time, rnd.choice(kinds)))
     schema = "order_id string, event_id string, occurred_at timestamp, event_type string"
     return spark.createDataFrame(rows, schema).repartition(7).cache()
 
 
-@pytest.mark.parametrize(("limit", "broadcast"), [(10_000, 9), (100, 9), (100, 0), (40, 9)])
-def test_previous_row_is_the_same_for_hot_keys(log, limit, broadcast, monkeypatch):
-    monkeypatch.setattr(skew, "BROADCAST_KEYS", broadcast)
+@pytest.mark.parametrize("unit", ["HOUR", "DAY", "YEAR"])
+def test_previous_row_is_the_same_for_every_unit(spark, log, unit):
     plain = Window.partitionBy("order_id").orderBy("occurred_at", "event_id")
     want = log.withColumn("before", F.lag("event_type").over(plain))
-    got = skew.with_previous(log, "order_id", ["occurred_at", "event_id"], "event_type", "before", limit)
+    got = skew.with_previous(log, "order_id", "occurred_at", "event_id", "event_type", "before", unit)
     assert got.columns == want.columns
     assert fx.rows(got, *want.columns) == fx.rows(want, *want.columns)
 
 
-def test_hot_keys_spread_over_ranges(spark, log):
-    ranged = skew._previous_across_ranges(
-        log.filter("order_id = 'hot'"), "order_id", ["occurred_at", "event_id"], "event_type", "before", 3
-    )
-    assert ranged.count() == 500 and ranged.filter("before IS NULL").count() == 1
-
-
-def test_illegal_transitions_do_not_depend_on_the_limit(log):
-    one, two = checks.illegal_transitions(log), checks.illegal_transitions(log, limit=50)
-    assert fx.rows(one, "*") == fx.rows(two, *one.columns)
-
-
-def test_lanes(log):
-    laned = skew.with_lanes(log, "order_id", 50)
-    sizes = laned.groupBy("order_id", "lane").count()
-    assert laned.count() == 1500 and laned.drop("lane").exceptAll(log).isEmpty()
-    assert sizes.agg(F.max("count")).first()[0] <= 100
-    assert laned.filter("order_id LIKE 'o%' AND lane > 0").isEmpty()
-    assert laned.filter("order_id IS NULL").select("lane").distinct().count() > 1
-    assert skew.with_lanes(log, "order_id", 10_000).filter("lane > 0").isEmpty()
+def test_building_starts_no_job(spark, log):
+    group = "previous-row"
+    spark.sparkContext.setJobGroup(group, group)
+    checks.illegal_transitions(log)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
