@@ -29,10 +29,11 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
-def pieces(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows whose texts make up about PIECE_BYTES; a longer text is a run of its own."""
+def pieces(batch: pa.RecordBatch, column: str = "text", size: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts make up about `size` bytes; a longer text is a run of its own."""
     sizes = np.array([x or 0 for x in pa.compute.binary_length(batch.column(column)).to_pylist()], np.int64)
-    cut = np.flatnonzero(np.diff(np.cumsum(sizes) // PIECE_BYTES)) + 1
+    long = np.flatnonzero(sizes > size)
+    cut = np.unique(np.r_[np.flatnonzero(np.diff(np.cumsum(sizes) // size)) + 1, long, long + 1])
     start = 0
     for stop in [*cut.tolist(), batch.num_rows]:
         if stop > start:

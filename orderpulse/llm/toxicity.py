@@ -32,17 +32,18 @@ BITS = 20
 MAX_ROWS = 20_000
 FEATURES = 8192
 SMOOTHING = 1.0
+WORK_BYTES = 512 << 10  # texts counted at a time: each character has one n-gram of every size
+LONG_TEXT = 1 << 18  # characters
 _SPACE = np.uint32(32)
 
 
-def buckets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(text index, bucket) of every n-gram occurrence; texts are lower-cased and padded with spaces."""
+def occurrences(texts: list[str | None]) -> Iterator[np.ndarray]:
+    """For each n-gram size, text index << BITS | bucket of all occurrences; texts are lower-cased and padded with spaces."""
     lowered = [f" {(t or '').lower()} " for t in texts]
     lengths = np.array([len(t) for t in lowered], np.int64)
     chars = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32).copy()
     chars[(chars <= 13) & (chars >= 9)] = _SPACE
-    owner = np.repeat(np.arange(len(texts)), lengths)
-    owners, found = [], []
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
     code = np.full(len(chars), 0x811C9DC5, np.uint32)
     for n in range(1, min(max(SIZES), len(chars)) + 1):
         last = len(chars) - n + 1
@@ -50,19 +51,40 @@ def buckets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         code ^= code >> np.uint32(15)
         if n in SIZES:
             inside = owner[:last] == owner[n - 1 :]
-            owners.append(owner[:last][inside])
-            found.append(((code[inside] * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)).astype(np.int64))
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(owners), np.concatenate(found)
+            found = (code[inside] * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
+            yield owner[:last][inside].astype(np.int64) << BITS | found
+
+
+def buckets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(text index, bucket) of every n-gram occurrence."""
+    keys = np.concatenate([np.zeros(0, np.int64), *occurrences(texts)])
+    return keys >> BITS, keys & (1 << BITS) - 1
+
+
+def _levels(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    reached = [(keys[times >= 1 << k], k) for k in range(LEVELS)]
+    owner = np.concatenate([x >> BITS for x, _ in reached])
+    return owner, np.concatenate([(x & (1 << BITS) - 1) * LEVELS + k for x, k in reached])
 
 
 def present(owners: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(text, feature) once each: a bucket's features, by how often it occurs in the text."""
-    once, times = np.unique(owners << BITS | found, return_counts=True)
-    features = [(once[times >= 1 << k], k) for k in range(LEVELS)]
-    owner = np.concatenate([x >> BITS for x, _ in features])
-    return owner, np.concatenate([(x & ((1 << BITS) - 1)) * LEVELS + k for x, k in features])
+    return _levels(*np.unique(owners << BITS | found, return_counts=True))
+
+
+def text_features(texts: list[str | None], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(text, feature) once each, of the buckets that `wanted` marks (all by default).
+
+    A long text by itself is counted size by size into all buckets: memory then grows with its characters only.
+    """
+    keys = occurrences(texts)
+    if wanted is not None:
+        keys = (x[wanted[x & (1 << BITS) - 1]] for x in keys)
+    if len(texts) == 1 and len(texts[0] or "") > LONG_TEXT:
+        total = sum((np.bincount(x, minlength=1 << BITS) for x in keys), np.zeros(1 << BITS, np.int64))
+        once = np.flatnonzero(total)
+        return _levels(once, total[once])
+    return _levels(*np.unique(np.concatenate([np.zeros(0, np.int64), *keys]), return_counts=True))
 
 
 @dataclass(frozen=True)
@@ -80,9 +102,7 @@ class Model:
 
 
 def score_texts(dense: np.ndarray, intercept: float, texts: list[str | None]) -> np.ndarray:
-    owners, found = buckets(texts)
-    used = dense.reshape(-1, LEVELS).any(axis=1)[found]
-    owners, found = present(owners[used], found[used])
+    owners, found = text_features(texts, dense.reshape(-1, LEVELS).any(axis=1))
     total = intercept + np.bincount(owners, weights=dense[found], minlength=len(texts))
     return 1 / (1 + np.exp(-np.clip(total, -500, 500)))
 
@@ -107,9 +127,9 @@ def count_buckets(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, LEVELS << BITS), np.int32)
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, size=WORK_BYTES):
                 toxic = part["toxic"].to_numpy().astype(np.int64)
-                owners, found = present(*buckets(part["text"].to_pylist()))
+                owners, found = text_features(part["text"].to_pylist())
                 for k in (0, 1):
                     np.add.at(total[k], found[toxic[owners] == k], 1)
         held = np.flatnonzero(total.any(axis=0))
@@ -144,7 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, features:
     scale = np.array([r["ratio"] for r in ratios])
 
     def vector(text: str | None) -> SparseVector:
-        found = np.sort(present(*buckets([text]))[1])
+        found = np.sort(text_features([text])[1])
         at = np.searchsorted(index, found)
         at = at[index[np.minimum(at, len(index) - 1)] == found]
         return SparseVector(len(index), at, scale[at])
@@ -162,7 +182,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dense = model.dense()
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, size=WORK_BYTES):
                 yield record_batch(schema, [part["doc_id"], score_texts(dense, model.intercept, part["text"].to_pylist())])
 
     return id_and_text(docs).mapInArrow(run, "doc_id long, score double")
