@@ -206,8 +206,12 @@ def similar_fingerprints(distinct: DataFrame, radius: int = 3, task_rows: int =
 
 def component_names(rows: DataFrame, radius: int = 3, task_rows: int = TASK_ROWS) -> DataFrame:
     """(fp, component_id) for the fingerprints of (doc_id, fp) rows."""
+    return named_components(rows, connected_components(similar_fingerprints(rows.select("fp").distinct(), radius, task_rows)))
+
+
+def named_components(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(fp, component_id, label) for the fp of (doc_id, fp) rows, given the (node, label) of those that have links."""
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    labels = connected_components(similar_fingerprints(distinct.select("fp"), radius, task_rows))
     named = distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left")
     named = named.select("fp", "first_id", F.coalesce("label", "fp").alias("label"))
     smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
@@ -223,7 +227,13 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, task_rows:
 def keep_one(docs: DataFrame, words: int = 3, radius: int = 3, task_rows: int = TASK_ROWS) -> DataFrame:
     """Of each component the row with the smallest doc_id, with all columns; of rows that share it, one."""
     rows = stored(fingerprints(docs, words), "fingerprints")
-    named = rows.join(component_names(rows, radius, task_rows), "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return one_of_each(docs, rows, connected_components(similar_fingerprints(rows.select("fp").distinct(), radius, task_rows)))
+
+
+def one_of_each(docs: DataFrame, rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The kept rows, given (doc_id, key, fp) of all rows and the (node, label) of each fp that has links."""
+    names = named_components(rows, labels)
+    named = rows.join(names, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = named.groupBy("label").agg(F.min("key").alias("kept_key"), F.first("doc_id").alias("kept_id"))
     kept = kept.select(F.coalesce("kept_id", F.lit(-1)).alias("kept_id"), "kept_key")
     found = docs.select(
