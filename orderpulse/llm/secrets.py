@@ -1,8 +1,10 @@
 """Secret scan by a recursive decoding worklist.
 
 Every whole text is scanned for three kinds of secrets. Then its encoded layers are unwrapped: percent
-escapes, Unicode escapes, base64 runs and compressed blobs inside them. Each new layer is scanned and
-put on the worklist again, until no layer yields a new one. A layer that equals one of its ancestors,
+escapes, Unicode escapes, base64 runs and compressed streams, which are looked for at every place of a
+layer. Each new layer is scanned and put on the worklist again, until no layer yields a new one. Decoded
+bytes that are not ASCII make two layers: the UTF-8 text, and one in which each byte is the character of
+its number, so that nothing binary is lost. A layer that equals one of its ancestors,
 or was already reached from the same place, is not opened again, so cyclic encodings end. Finds in a
 layer are mapped back, layer by layer, to the characters of the original text.
 
@@ -44,6 +46,14 @@ _ESCAPE = re.compile(
     r"|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});"
 )
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:(?:[A-Za-z0-9+/]{76}|[A-Za-z0-9+/]{64})\r?\n)*[A-Za-z0-9+/_-]{16,}")
+_PLUS = re.compile(r"(?:%[0-9A-Fa-f]{2}|\+)+")
+_SIMPLE = {"a": 7, "b": 8, "t": 9, "n": 10, "v": 11, "f": 12, "r": 13, "0": 0} | {c: ord(c) for c in "\\'\"/"}
+_ANY_ESCAPE = re.compile(_ESCAPE.pattern + r"|\\([abtnvfr0\\'\"/])")
+_LATIN = re.compile("[\x00-\xff]*")
+# gzip, bzip2, xz, zstd, zlib
+_MAGICS = ("\x1f\x8b", "BZh", "\xfd7zXZ", "(\xb5/\xfd", "x\x01", "x^", "x\x9c", "x\xda")
+_MAGIC = re.compile("|".join(map(re.escape, _MAGICS)).encode("latin-1"))
+_FED = 1024  # bytes that a decompressor gets at a time, which bounds what they can grow to
 _READABLE = re.compile(rb"[\t\n\r\x20-\x7e]{16,}")  # secrets are ASCII, and none is shorter
 
 Span = tuple[int, int, int]  # start, index of the kind, end
@@ -95,34 +105,54 @@ class Unopened(Exception):
     """A compressed layer over the limit."""
 
 
-def decompress(data: bytes, limit: int) -> bytes | None:
-    """The content if data is a compressed stream; None if it is not."""
-    if data[:2] == b"\x1f\x8b":
-        opener = zlib.decompressobj(31)
-    elif data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0:
-        opener = zlib.decompressobj()
-    elif data[:3] == b"BZh":
-        opener = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00":
-        opener = lzma.LZMADecompressor()
-    elif data[:4] == b"\x28\xb5\x2f\xfd":
+def _opener(data: bytes, at: int):
+    """A decompressor for the stream that begins at a place, by its magic number."""
+    if data.startswith(b"\x1f\x8b", at):
+        return zlib.decompressobj(31)
+    if data.startswith(b"BZh", at):
+        return bz2.BZ2Decompressor()
+    if data.startswith(b"\xfd7zXZ", at):
+        return lzma.LZMADecompressor()
+    if data.startswith(b"\x28\xb5\x2f\xfd", at):
+        return zstandard.ZstdDecompressor().decompressobj()
+    return zlib.decompressobj() if data.startswith(b"x", at) else None
+
+
+def decompress(data: bytes, limit: int, at: int = 0) -> tuple[bytes, int]:
+    """The content of the stream at a place and of those of its kind that follow it, and where they end."""
+    out, size, end, magic = [], 0, at, data[at : at + 2]
+    while (opener := _opener(data, at)) is not None and data[at : at + 2] == magic:
         try:
-            with zstandard.ZstdDecompressor().stream_reader(data) as reader:
-                content = reader.read(limit + 1)
-        except zstandard.ZstdError:
-            return None
-        if len(content) > limit:
-            raise Unopened
-        return content
-    else:
-        return None
-    try:
-        content = opener.decompress(data, limit + 1)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        return None
-    if len(content) > limit:
-        raise Unopened
-    return content
+            while at < len(data) and not opener.eof:
+                fed = data[at : at + _FED]
+                most = () if magic == b"\x28\xb5" else (limit + 1 - size,)
+                out.append(opener.decompress(fed, *most))
+                at, size = at + len(fed), size + len(out[-1])
+                if size > limit:
+                    raise Unopened
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError, zstandard.ZstdError):
+            end = at if size else end
+            break
+        at = end = at - len(opener.unused_data)
+        while data.startswith(b"\0", at):  # padding between streams
+            at += 1
+    return b"".join(out), end
+
+
+def streams(data: bytes, limit: int) -> Iterator[tuple[bytes | None, int, int]]:
+    """Contents and places of the compressed streams anywhere in the data; None stands for one over the limit."""
+    done = 0
+    for m in _MAGIC.finditer(data):
+        if m.start() < done:
+            continue
+        try:
+            content, end = decompress(data, limit, m.start())
+        except Unopened:
+            yield None, m.start(), len(data)
+            continue
+        if content:
+            yield content, m.start(), end
+            done = end
 
 
 def _rewritten(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
@@ -160,32 +190,61 @@ def _percent_chars(m: re.Match) -> Iterator[tuple[str, int]]:
         i += width
 
 
+def _percent_bytes(m: re.Match) -> Iterator[tuple[str, int]]:
+    for part in re.findall(r"%..|\+", m[0]):
+        yield (" " if part == "+" else chr(int(part[1:], 16))), len(part)
+
+
 def _escaped_char(m: re.Match) -> Iterator[tuple[str, int]]:
     code = int(m[6]) if m[6] else int(next(g for g in m.groups()[:5] if g), 16)
     yield (chr(code) if code <= 0x10FFFF else "\ufffd"), m.end() - m.start()
 
 
+def _any_escaped_char(m: re.Match) -> Iterator[tuple[str, int]]:
+    if m[7]:
+        yield chr(_SIMPLE[m[7]]), 2
+    else:
+        yield from _escaped_char(m)
+
+
+def _may_hold_stream(text: str) -> bool:
+    return any(magic in text for magic in _MAGICS)
+
+
 def _whole(text: str, parent: Layer, start: int, end: int) -> Layer:
     return Layer(text, parent, [(0, start, end, False)])
 
 
+def _contents(content: bytes | None, layer: Layer, start: int, end: int) -> Iterator[Layer | None]:
+    """A stream's content as text and, if it is not ASCII, byte by byte."""
+    if content is None:
+        yield None
+        return
+    yield _whole(content.decode("utf-8", "replace"), layer, start, end)
+    if not content.isascii():
+        yield _whole(content.decode("latin-1"), layer, start, end)
+
+
 def _unwrapped(layer: Layer, limit: int) -> Iterator[Layer | None]:
     """The layers directly inside a layer; None stands for one over the limit."""
     text = layer.text
-    if "%" in text:
-        for m in _PERCENT.finditer(text):
-            try:
-                content = decompress(bytes.fromhex(m[0].replace("%", "")), limit)
-            except Unopened:
-                yield None
-                continue
-            if content:
-                yield _whole(content.decode("utf-8", "replace"), layer, *m.span())
-        if (child := _rewritten(layer, _PERCENT, _percent_chars)) is not None:
-            yield child
+    if "%" in text and (child := _rewritten(layer, _PERCENT, _percent_chars)) is not None:
+        yield child
+        data = child if child.text.isascii() else _rewritten(layer, _PERCENT, _percent_bytes)
+        if data is not child:
+            yield data
+        if "+" in text and _may_hold_stream(data.text):
+            yield _rewritten(layer, _PLUS, _percent_bytes)
     if "\\" in text or "&#" in text:
         if (child := _rewritten(layer, _ESCAPE, _escaped_char)) is not None:
             yield child
+        if "\\\\" in text or "\\" in text and _may_hold_stream(text if child is None else child.text):
+            if (child := _rewritten(layer, _ANY_ESCAPE, _any_escaped_char)) is not None:
+                yield child
+    if _may_hold_stream(text):
+        for run in _LATIN.finditer(text):
+            for content, start, end in streams(run[0].encode("latin-1"), limit):
+                yield from _contents(content, layer, run.start() + start, run.start() + end)
     for m in _BASE64.finditer(text):
         yield from _from_base64(layer, m, limit)
 
@@ -200,14 +259,8 @@ def _from_base64(layer: Layer, m: re.Match, limit: int) -> Iterator[Layer | None
         if len(used) < 16:
             break
         data = base64.b64decode(used + "=" * (-len(used) % 4))
-        try:
-            content = decompress(data, limit)
-        except Unopened:
-            yield None
-            continue
-        if content:
-            yield _whole(content.decode("utf-8", "replace"), layer, m.start() + shift, m.end())
-            continue
+        for content, start, end in streams(data, limit):
+            yield from _contents(content, layer, places[shift + 8 * start // 6], places[shift + (8 * end - 1) // 6] + 1)
         for stretch in _READABLE.finditer(data):
             yield _stretch(layer, stretch, places, shift)
 

@@ -1,12 +1,17 @@
 """Secret scan: base finds against plain expressions, nested layers, spans, edge cases."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import json
+import lzma
 import re
 import urllib.parse
+import zlib
 
 import pytest
+import zstandard
 from llm_data import docs_frame
 
 from orderpulse.llm import secrets
@@ -74,6 +79,55 @@ def test_exact_place_in_base64():
     assert start == 12 and end == (9 + len(KEY)) * 8 // 6 + 1
 
 
+def quoted(x):
+    return urllib.parse.quote(x, safe="")
+
+
+def python_escapes(x):
+    return repr(x)[2:-1]
+
+
+PACKERS = {"gzip": gzip.compress, "zlib": zlib.compress, "bz2": bz2.compress, "xz": lzma.compress, "zstd": zstandard.compress}
+CODINGS = {
+    "base64": b64, "quote": quoted, "quote_plus": urllib.parse.quote_plus, "repr": python_escapes,
+    "every percent": lambda x: "".join(f"%{c:02X}" for c in x), "x escapes": lambda x: "".join(f"\\x{c:02x}" for c in x),
+    "json": lambda x: json.dumps(x.decode("latin-1"))[1:-1], "entities": lambda x: "".join(f"&#{c};" for c in x),
+    "in binary": lambda x: b64(b"\xff\x00some\xc3" + x + b"\x80\x81"),
+}
+INSIDE = f"früh und spät {KEY} am Ende, 0123456789 {'+/?=& ' * 7}".encode()
+
+
+def finds_key(text):
+    return any(kind == 1 for _, kind, _ in set(secrets.find(text)[1]) - set(secrets.find(text)[0]))
+
+
+@pytest.mark.parametrize("coding", CODINGS)
+@pytest.mark.parametrize("outer", PACKERS)
+def test_compressed_layers_in_each_coding(coding, outer):
+    coded = CODINGS[coding](PACKERS[outer](INSIDE))
+    text = f"früher: {coded} später 東"
+    assert finds_key(text)
+    assert not finds_key(secrets.redact(text, secrets.find(text)[1]))
+    for inner in PACKERS.values():
+        assert finds_key("a " + CODINGS[coding](PACKERS[outer](inner(INSIDE))))
+
+
+@pytest.mark.parametrize("outer", CODINGS)
+@pytest.mark.parametrize("inner", CODINGS)
+def test_codings_in_codings(outer, inner):
+    assert finds_key("a " + CODINGS[outer](gzip.compress(CODINGS[inner](zstandard.compress(INSIDE)).encode())))
+    assert finds_key("a " + CODINGS[outer](CODINGS[inner](gzip.compress(INSIDE)).encode()))
+
+
+@pytest.mark.parametrize("pack", PACKERS.values(), ids=PACKERS)
+def test_further_members(pack):
+    cut = INSIDE.index(KEY.encode()) + 8
+    assert finds_key(b64(pack(b"nothing") + pack(INSIDE)))
+    assert finds_key(b64(pack(INSIDE[:cut]) + pack(INSIDE[cut:])))
+    for other in PACKERS.values():
+        assert finds_key(b64(pack(b"nothing") + b"\xee\xef" + other(INSIDE)))
+
+
 def test_cycles_end():
     text = "%2525" * 200 + "%41" * 10 + "\\u005cu0041"
     assert secrets.find(text)[2] >= 3
