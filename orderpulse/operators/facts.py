@@ -73,12 +73,20 @@ def dimension(rows: DataFrame) -> DataFrame:
     return rows
 
 
-def assemble_baskets(lines: DataFrame, key: str = "order_id", parts: int = 1) -> DataFrame:
-    """Item rows to `items` arrays, one per order and part.
+def line_blocks(lines: DataFrame, size: int, name: str = "part") -> DataFrame:
+    """Add the block of at most `size` lines that a line was read in, whatever the lines hold.
 
-    With `parts` over one, an order's items are dealt by their content to that many arrays at most, whatever
-    its size; exploding them gives the same item rows. Use it where an order can outgrow one array.
+    Use it right on a scan, where a task that runs again reads the same lines in the same order.
+    """
+    return lines.withColumn(name, F.floor(F.monotonically_increasing_id() / size))
+
+
+def assemble_baskets(lines: DataFrame, key: str = "order_id", parts: int = 1, part: str | None = None) -> DataFrame:
+    """Item rows to `items` arrays, one per order and part; exploding them gives the same item rows.
+
+    `part` names a column, such as that of `line_blocks`, which bounds an array however many lines an order has
+    and however equal they are. Without it, an order's items are dealt by their content to `parts` arrays.
     """
     item = F.struct(*[F.col(name).alias(field) for name, field in ITEM_COLUMNS.items()])
-    part = F.pmod(F.xxhash64(*ITEM_COLUMNS), F.lit(parts)).alias("part")
-    return lines.groupBy(key, part).agg(F.sort_array(F.collect_list(item)).alias("items"))
+    dealt = F.col(part) if part else F.pmod(F.xxhash64(*ITEM_COLUMNS), F.lit(parts))
+    return lines.groupBy(key, dealt.alias("part")).agg(F.sort_array(F.collect_list(item)).alias("items"))

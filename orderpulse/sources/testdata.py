@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from orderpulse import schemas
 from orderpulse.operators.cleaning import HEAD, PAYLOAD_FIELDS
-from orderpulse.operators.facts import assemble_baskets
+from orderpulse.operators.facts import assemble_baskets, line_blocks
 from orderpulse.session import use_utc
 
+BASKET_LINES = 100_000  # the most lines of an order in one array
 TIME_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
@@ -135,8 +136,11 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def placed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as placed events with nested items; an order without lines has NULL items."""
-    baskets = assemble_baskets(order_lines(spark, sf_dir))
+    """Orders as placed events with nested items; an order without lines has NULL items.
+
+    An order has a row for each block of lines that it is found in, so no array grows with the order.
+    """
+    baskets = assemble_baskets(line_blocks(order_lines(spark, sf_dir), BASKET_LINES), part="part")
     return (
         table(spark, sf_dir, "orders")
         .select(

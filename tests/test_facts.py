@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from orderpulse import schemas
 from orderpulse import vocabulary as v
 from orderpulse.operators import facts, mart
+from orderpulse.sources import testdata
 
 
 def orders(spark, rows):
@@ -180,3 +181,23 @@ def test_baskets_round_trip_and_keep_their_grain(spark, parts):
     assert fx.rows(items, "order_id", "menu_item_id") == fx.rows(lines, "order_id", "menu_item_id")
     assert baskets.filter("order_id = 'hot'").count() == parts
     assert baskets.groupBy("order_id").count().agg(F.max("count")).first()[0] == parts
+
+
+def test_equal_lines_of_one_order_fill_bounded_arrays(spark):
+    lines = spark.range(0, 30_000, numPartitions=4).selectExpr(
+        "if(id % 3 = 0, string(id), 'hot') AS order_id", "'m' AS menu_item_id", "'x' AS item_name",
+        "1L AS quantity", "5L AS unit_price", "5L AS line_total",
+    )
+    baskets = facts.assemble_baskets(facts.line_blocks(lines, 1000), part="part")
+    assert baskets.agg(F.max(F.size("items"))).first()[0] <= 1000
+    items = baskets.select("order_id", F.explode("items").alias("i")).groupBy("order_id").count()
+    assert items.exceptAll(lines.groupBy("order_id").count()).count() == 0 and items.count() == 10_001
+
+
+def test_placed_orders_hold_bounded_arrays(spark, monkeypatch):
+    whole = facts.order_items(testdata.placed_orders(spark, "/root/testdata/sf0.001"))
+    monkeypatch.setattr(testdata, "BASKET_LINES", 2)
+    placed = testdata.placed_orders(spark, "/root/testdata/sf0.001")
+    assert placed.agg(F.max(F.size("items"))).first()[0] <= 2
+    items = facts.order_items(placed)
+    assert items.exceptAll(whole).count() == whole.exceptAll(items).count() == 0 < items.count()
