@@ -1,8 +1,8 @@
 """Benchmark decontamination by SimHash windows of item size.
 
-Words are compared lower-cased. A benchmark item of n words is looked for in all windows of n words of a text. Windows
-and items get a SimHash of their word shingles; the 64 bits are cut into blocks, and a window is a candidate for an
-item if some block of the two differs by at most floor(radius / blocks) bits, which by the pigeonhole principle holds
+Words are compared lower-cased. A benchmark item of n words is looked for in all windows of n words of a text; a text of
+fewer words is its own only window. Windows and items get a SimHash of their word shingles; the 64 bits are cut into
+blocks, and a window is a candidate for an item if some block of the two differs by at most floor(radius / blocks) bits, which by the pigeonhole principle holds
 for every fingerprint within the radius. Candidates within the radius are verified by the exact similarity of their
 weighted shingles (sum of the smaller over sum of the larger multiplicities). Of the windows over the threshold that
 overlap each other, the most similar one (then the first) is reported for an item.
@@ -122,7 +122,9 @@ class Index:
         for at, s in enumerate(found):
             if s in known:
                 for n in known[s]:
-                    if n >= self.size:
+                    if n > len(words) >= self.size:
+                        starts[n].add(0)
+                    elif n >= self.size:
                         starts[n].update(range(max(0, at + self.size - n), min(at, len(words) - n) + 1))
         for n in self.short:
             for at in range(len(words) - n + 1):
@@ -146,7 +148,7 @@ class Index:
         if n < self.size:
             grams, each = {a: [b" ".join(words[a : a + n])] for a in starts.tolist()}, 1
         else:
-            each = n - self.size + 1
+            each = min(n, len(words)) - self.size + 1
             grams = {a: found[a : a + each] for a in starts.tolist()}
         digests = {s: xxhash.xxh64_intdigest(s, 42) for g in grams.values() for s in g}
         flat = np.fromiter((digests[s] for g in grams.values() for s in g), np.uint64, each * len(starts))
@@ -156,7 +158,7 @@ class Index:
             a = int(starts[w])
             alike = similarity(Counter(grams[a]), self.items[i][2])
             if alike >= threshold:
-                out.append((self.items[i][0], a, n, alike, away))
+                out.append((self.items[i][0], a, min(n, len(words)), alike, away))
         return out
 
 

@@ -72,3 +72,13 @@ def test_blocks_find_all_fingerprints_within_the_radius():
     fps = np.array([x[3] for x in index.items]) ^ rng.integers(0, 1 << 40, 150).astype(np.uint64)
     expected = {(w, i) for w, f in enumerate(fps.tolist()) for i, x in enumerate(index.items) if (f ^ int(x[3])).bit_count() <= 20}
     assert {(w, i) for w, i, _ in index.candidates(12, fps)} == expected
+
+
+def test_texts_shorter_than_an_item(spark):
+    words = LONG.split()
+    texts = [" ".join(words[:55]), " ".join(words[4:]).upper(), " ".join(words[:30]), "q0 q1", " ".join(words[:48])]
+    items = spark.createDataFrame([(1, LONG)], "item_id long, text string")
+    rows = decontaminate.matches(docs_frame(spark, texts), items).collect()
+    assert sorted((r.doc_id, r.start_word, r.n_words, r.similarity) for r in rows) == [(0, 0, 55, 51 / 56), (1, 0, 56, 52 / 56)]
+    left = decontaminate.without_matches(docs_frame(spark, texts), items).collect()
+    assert {r.doc_id for r in left} == {2, 3, 4}
