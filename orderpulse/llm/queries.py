@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderpulse.llm import decontaminate, pii, quality, rules, sampling, secrets, simhash, suffixes, token_ids, toxicity
+from orderpulse.llm import decontaminate, divergence, merkle, pii, quality, rules, sampling, secrets, simhash, suffixes, token_ids, toxicity
 from orderpulse.llm.common import table
 from orderpulse.session import work_folder
 
@@ -69,11 +69,24 @@ def op10_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.sample_pieces(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proofs(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_toxicity, op3_benchmark_decontamination, op4_huffman_token_ids, op5_suffix_dedup,
         op6_quality_rules, op7_simhash_near_dedup, op8_quality_classifier, op9_pii_pseudonyms, op10_sampled_pieces,
+        op11_source_divergence, op13_merkle_manifest,
     )
 }
-ORACLES = {"op6_quality_rules": rules.ORACLE}
+ORACLES = {
+    "op6_quality_rules": rules.ORACLE,
+    "op11_source_divergence": divergence.ORACLE,
+    "op13_merkle_manifest": merkle.oracle(),
+}
