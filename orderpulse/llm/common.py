@@ -58,3 +58,30 @@ def stored(frame: DataFrame, purpose: str, compression: str = "snappy") -> DataF
     path = work_folder(spark, purpose)
     frame.write.option("compression", compression).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+class Scratch:
+    """Intermediate tables of one job in the shared folder, each removed as soon as nothing reads it any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def store(self, frame: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
+        path = work_folder(self.spark, purpose)
+        frame.write.option("compression", compression).parquet(path)
+        out = self.spark.read.schema(frame.schema).parquet(path)
+        self.paths[id(out)] = out, path
+        return out
+
+    def free(self, *frames: DataFrame) -> None:
+        """Remove the tables of frames that `store` returned; others are left alone."""
+        for frame in frames:
+            _, path = self.paths.pop(id(frame), (None, None))
+            if path:
+                folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def free_all_but(self, *kept: DataFrame) -> None:
+        names = {id(k) for k in kept}
+        self.free(*[frame for name, (frame, _) in list(self.paths.items()) if name not in names])

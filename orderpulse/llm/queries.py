@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderpulse.llm import decontaminate, divergence, merkle, pii, quality, rules, sampling, secrets, simhash, suffixes, token_ids, toxicity
+from orderpulse.llm import decontaminate, divergence, merkle, minhash, pii, quality, rules, sampling, secrets, simhash, suffixes, token_ids, toxicity
 from orderpulse.llm.common import table
 from orderpulse.session import work_folder
 
@@ -73,6 +73,11 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proofs(table(spark, sf_dir, "documents"))
 
@@ -82,7 +87,7 @@ QUERIES = {
     for f in (
         op1_secret_scan, op2_toxicity, op3_benchmark_decontamination, op4_huffman_token_ids, op5_suffix_dedup,
         op6_quality_rules, op7_simhash_near_dedup, op8_quality_classifier, op9_pii_pseudonyms, op10_sampled_pieces,
-        op11_source_divergence, op13_merkle_manifest,
+        op11_source_divergence, op12_minhash_near_dedup, op13_merkle_manifest,
     )
 }
 ORACLES = {
