@@ -7,9 +7,10 @@ threshold is discarded: no term that begins with it can reach it. Only terms who
 next level, with prefixes twice as long, until no prefix is left that is not a whole term. Whole terms that reach the
 threshold are kept, with exact counts.
 
-The prefixes that a level leaves reach the tasks of the next as a bitmap of fixed size, filled by hash and built in
-Spark. Two prefixes with the same bit let a discarded one through; its extensions are then counted and judged like any
-other, so results do not depend on it. Counts are combined in each task before they are shuffled.
+Prefixes are counted under 64-bit hashes of lang and bytes, combined in each task before they are shuffled. Those that a
+level leaves reach the tasks of the next as a bitmap of fixed size, filled by their hashes and built in Spark. Two
+prefixes with the same bit let a discarded one through; its extensions are then counted and judged like any other, so
+results do not depend on it.
 
 Every kept term then has a share in each (lang, source) group and in the lang. Pairs of sources are compared over
 blocks of kept terms, each a matrix of bounded size in a task; the blocks' sums are added. All arithmetic is on integers.
@@ -39,8 +40,9 @@ LEAST_DOCS = 10
 FIRST_BYTES = 5
 TOP_TERMS = 10
 BITMAP_BITS = 24
-BLOCK_CELLS = 1 << 22  # of a block's matrix of terms by sources
-FLUSHED = 200_000  # entries that a task combines before it passes them on
+BLOCK_CELLS = 1 << 16  # of a block's matrix of terms by sources
+PIECE = 16 << 20  # bytes of term lists that are worked on at a time
+HELD = 1 << 20  # entries that a task holds before it combines them
 _TERM = re.compile(rb"[A-Za-z\x80-\xff]+")  # UTF-8 bytes: letters of ASCII, and all beyond
 
 
@@ -65,24 +67,17 @@ def term_lists(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "lang string, source string, terms binary, counts binary")
 
 
-def bits_of(langs: list[str], prefixes: list[bytes]) -> np.ndarray:
-    """The bit of each (lang, prefix)."""
+def keys_of(langs: list[str], prefixes: list[bytes]) -> np.ndarray:
+    """A hash of each (lang, prefix)."""
     seeds = {lang: xxhash.xxh32_intdigest(lang) for lang in set(langs)}
     digest = xxhash.xxh64_intdigest
-    found = [digest(p, seeds[lang]) for lang, p in zip(langs, prefixes)]
-    return (np.array(found, np.uint64) & np.uint64((1 << BITMAP_BITS) - 1)).astype(np.int64)
+    return np.array([digest(p, seeds[lang]) for lang, p in zip(langs, prefixes)], np.uint64).view(np.int64)
 
 
-def bitmap(prefixes: DataFrame) -> np.ndarray:
-    """The bits of (lang, prefix) rows: 2 MB at every size of the data. Spark joins them by words of 8,192 bits."""
+def bitmap(keys: DataFrame) -> np.ndarray:
+    """The low bits of `key`: 2 MB at every size of the data. Spark joins them by words of 8,192 bits."""
     word_bits = 1 << 13
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bits = bits_of(batch["lang"].to_pylist(), batch["prefix"].to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(bits), pa.int64())], ["bit"])
-
-    bits = prefixes.select("lang", "prefix").mapInArrow(run, "bit long").distinct()
+    bits = keys.select(F.col("key").bitwiseAND(F.lit((1 << BITMAP_BITS) - 1)).alias("bit")).distinct()
     words = bits.groupBy(F.floor(F.col("bit") / word_bits).alias("word")).agg(F.collect_set(F.col("bit") % word_bits).alias("bits"))
     out = np.zeros(1 << BITMAP_BITS, bool)
     for r in words.toLocalIterator():
@@ -90,16 +85,11 @@ def bitmap(prefixes: DataFrame) -> np.ndarray:
     return np.packbits(out)
 
 
-def is_set(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+def is_set(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys & ((1 << BITMAP_BITS) - 1)
     return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
 
 
-def factorized(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each value's place among the distinct values, and these."""
-    at, names = pd.factorize(codes)
-    return at, names
-
-
 class _Flat:
     """The terms of some rows side by side, each with its row (`doc`) and its place (`code`) among the distinct (lang, term)."""
 
@@ -115,76 +105,81 @@ class _Flat:
         self.doc = np.repeat(np.arange(part.num_rows), np.diff(np.r_[0, stops]))
         many = max(1, len(words.dictionary))
         pair = langs.indices.to_numpy().astype(np.int64)[self.doc] * many + words.indices.to_numpy()
-        self.code, pairs = factorized(pair)
+        self.code, pairs = pd.factorize(pair)
         self.terms = words.dictionary.take(pa.array(pairs % many))
         self.langs = langs.dictionary.take(pa.array(pairs // many))
         self.sizes = pc.binary_length(self.terms).to_numpy()
 
-    def within(self, bits: np.ndarray | None, size: int) -> np.ndarray:
-        """Which distinct terms have a prefix of `size` bytes that is set."""
-        if bits is None:
-            return np.ones(len(self.terms), bool)
-        return is_set(bits, bits_of(self.langs.to_pylist(), pc.binary_slice(self.terms, 0, size).to_pylist()))
-
+    def keys(self, of: np.ndarray, size: int) -> np.ndarray:
+        """Hashes of the first `size` bytes of the distinct terms `of`."""
+        terms = pc.binary_slice(self.terms.take(pa.array(of)), 0, size)
+        return keys_of(self.langs.take(pa.array(of)).to_pylist(), terms.to_pylist())
 
-def _combined(entries: dict, keys: list[str], value: str) -> Iterator[pa.RecordBatch]:
-    columns = list(zip(*entries))
-    yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in columns], pa.array(list(entries.values()), pa.int64())], [*keys, value])
 
+class _Sums:
+    """Sums by a few integer columns, combined whenever many entries are held."""
 
-def combined(batches, size_of: str, keys: list[str], value: str, counted) -> Iterator[pa.RecordBatch]:
-    """Sums of counted(part) = (keys, values) over the parts of a task, passed on when they are many."""
-    held = Counter()
-    for batch in batches:
-        for part in pieces(batch, size_of):
-            for key, n in zip(*counted(part)):
-                held[key] += n
-            if len(held) > FLUSHED:
-                yield from _combined(held, keys, value)
-                held.clear()
-    if held:
-        yield from _combined(held, keys, value)
+    def __init__(self, columns: int):
+        self.columns, self.held, self.n = columns, [], 0
 
+    def add(self, *values: np.ndarray) -> None:
+        self.held.append(values)
+        self.n += len(values[0])
+        if self.n > HELD and len(self.held) > 1:
+            self.held = [self.taken()]
+            self.n = len(self.held[0][0])
 
-def prefix_counts(lists: DataFrame, before: np.ndarray | None, last: int, size: int) -> DataFrame:
-    """(lang, prefix, docs) of the prefixes of `size` bytes of terms not judged yet, whose `last` bytes are set in `before`."""
-
-    def counted(part: pa.RecordBatch):
-        flat = _Flat(part)
-        left = np.flatnonzero(flat.sizes > last)
-        left = left[is_set(before, bits_of(flat.langs.take(pa.array(left)).to_pylist(),
-                                           pc.binary_slice(flat.terms.take(pa.array(left)), 0, last).to_pylist()))] if last else left
-        prefixes = pc.binary_slice(flat.terms.take(pa.array(left)), 0, size).dictionary_encode()
-        langs = flat.langs.take(pa.array(left)).dictionary_encode()
-        many = max(1, len(prefixes.dictionary))
-        code, names = factorized(langs.indices.to_numpy().astype(np.int64) * many + prefixes.indices.to_numpy())
-        of = np.full(len(flat.terms), -1)
-        of[left] = code
-        codes = of[flat.code]
-        rows = np.flatnonzero(codes >= 0)
-        codes, docs = codes[rows], flat.doc[rows]
-        # A row's terms are in byte order, so those with the same prefix are neighbours and count once.
-        new = np.r_[True, (codes[1:] != codes[:-1]) | (docs[1:] != docs[:-1])] if len(rows) else np.zeros(0, bool)
-        n = np.bincount(codes[new], minlength=len(names))
-        text = prefixes.dictionary.take(pa.array(names % many)).to_pylist()
-        return zip(langs.dictionary.take(pa.array(names // many)).to_pylist(), text), n.tolist()
+    def taken(self) -> tuple[np.ndarray, ...]:
+        if not self.held:
+            return tuple(np.zeros(0, np.int64) for _ in range(self.columns + 1))
+        whole = pd.DataFrame({i: np.concatenate(x) for i, x in enumerate(zip(*self.held))})
+        whole = whole.groupby(list(range(self.columns)), sort=False, as_index=False).sum()
+        return tuple(whole[i].to_numpy() for i in range(self.columns + 1))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from combined(batches, "terms", ["lang", "prefix"], "docs", counted)
 
-    found = lists.select("lang", "terms").mapInArrow(run, "lang string, prefix binary, docs long")
-    return found.groupBy("lang", "prefix").agg(F.sum("docs").alias("docs"))
+def prefix_counts(lists: DataFrame, before: np.ndarray | None, last: int, size: int) -> DataFrame:
+    """(key, whole, docs) of the prefixes of `size` bytes of terms not judged yet, whose `last` bytes are set in `before`.
 
+    whole is 1 if the prefix is a term."""
+    schema = pa.schema([("key", pa.int64()), ("whole", pa.int64()), ("docs", pa.int64())])
 
-def kept_terms(lists: DataFrame, least: int = LEAST_DOCS) -> tuple[DataFrame, int]:
-    """(lang, term) of the terms in at least so many documents of the lang, ended by a zero byte; the longest one's bytes."""
-    whole = F.expr("substr(prefix, -1, 1) = X'00'")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = _Sums(2)
+        for batch in batches:
+            for part in pieces(batch, "terms", PIECE):
+                flat = _Flat(part)
+                left = np.flatnonzero(flat.sizes > last)
+                if before is not None:
+                    left = left[is_set(before, flat.keys(left, last))]
+                prefixes = pc.binary_slice(flat.terms.take(pa.array(left)), 0, size).dictionary_encode()
+                langs = flat.langs.take(pa.array(left)).dictionary_encode()
+                many = max(1, len(prefixes.dictionary))
+                code, names = pd.factorize(langs.indices.to_numpy().astype(np.int64) * many + prefixes.indices.to_numpy())
+                of = np.full(len(flat.terms), -1)
+                of[left] = code
+                codes = of[flat.code]
+                rows = np.flatnonzero(codes >= 0)
+                codes, docs = codes[rows], flat.doc[rows]
+                # A row's terms are in byte order, so those with the same prefix are neighbours and count once.
+                new = np.r_[True, (codes[1:] != codes[:-1]) | (docs[1:] != docs[:-1])] if len(rows) else np.zeros(0, bool)
+                n = np.bincount(codes[new], minlength=len(names))
+                text = prefixes.dictionary.take(pa.array(names % many)).to_pylist()
+                keys = keys_of(langs.dictionary.take(pa.array(names // many)).to_pylist(), text)
+                sums.add(keys, np.array([t[-1] == 0 for t in text], np.int64), n)
+        yield record_batch(schema, list(sums.taken()))
+
+    found = lists.select("lang", "terms").mapInArrow(run, "key long, whole long, docs long")
+    return found.groupBy("key", "whole").agg(F.sum("docs").alias("docs"))
+
+
+def kept_keys(lists: DataFrame, least: int = LEAST_DOCS) -> tuple[DataFrame, int]:
+    """(key) of the terms in at least so many documents of their lang; a size in bytes that none of them exceeds."""
     kept, bits, last, size = None, None, 0, FIRST_BYTES
     while True:
         left = stored(prefix_counts(lists, bits, last, size).filter(F.col("docs") >= least), "prefixes")
-        terms = left.filter(whole).select("lang", F.col("prefix").alias("term"))
+        terms = left.filter("whole = 1").select("key")
         kept = terms if kept is None else kept.union(terms)
-        unfinished = left.filter(~whole)
+        unfinished = left.filter("whole = 0")
         if unfinished.isEmpty():
             return kept, size
         bits, last, size = bitmap(unfinished), size, 2 * size
@@ -192,24 +187,42 @@ def kept_terms(lists: DataFrame, least: int = LEAST_DOCS) -> tuple[DataFrame, in
 
 def term_counts(lists: DataFrame, kept: DataFrame, longest: int) -> DataFrame:
     """(lang, source, term, n) with n > 0 for the kept terms."""
-    bits = bitmap(kept.withColumnRenamed("term", "prefix"))
-
-    def counted(part: pa.RecordBatch):
-        flat = _Flat(part)
-        sources = part["source"].dictionary_encode()
-        rows = np.flatnonzero((flat.within(bits, longest) & (flat.sizes <= longest))[flat.code])
-        many = max(1, len(flat.terms))
-        at, pairs = factorized(sources.indices.to_numpy().astype(np.int64)[flat.doc[rows]] * many + flat.code[rows])
-        sums = np.bincount(at, np.frombuffer(b"".join(part["counts"].to_pylist()), np.uint32)[rows], len(pairs))
-        of = pa.array(pairs % many)
-        names = (flat.langs.take(of), sources.dictionary.take(pa.array(pairs // many)), flat.terms.take(of))
-        return zip(*(x.to_pylist() for x in names)), sums.astype(np.int64).tolist()
+    bits = bitmap(kept)
+    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("key", pa.int64()), ("term", pa.binary()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from combined(batches, "terms", ["lang", "source", "term"], "n", counted)
-
-    found = lists.mapInArrow(run, "lang string, source string, term binary, n long")
-    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")).join(kept, ["lang", "term"], "left_semi")
+        sums, groups, named = _Sums(2), {}, np.zeros(0, np.int64)
+        for batch in batches:
+            for part in pieces(batch, "terms", PIECE):
+                flat = _Flat(part)
+                left = np.flatnonzero(flat.sizes <= longest)
+                keys = flat.keys(left, longest)
+                held = is_set(bits, keys)
+                left, keys = left[held], keys[held]
+                of = np.full(len(flat.terms), -1)
+                of[left] = np.arange(len(left))
+                codes = of[flat.code]
+                rows = np.flatnonzero(codes >= 0)
+                names = list(zip(part["lang"].to_pylist(), part["source"].to_pylist()))
+                group = np.array([groups.setdefault(x, len(groups)) for x in names], np.int64)[flat.doc[rows]]
+                many = max(1, len(left))
+                at, pairs = pd.factorize(group * many + codes[rows])
+                n = np.bincount(at, np.frombuffer(b"".join(part["counts"].to_pylist()), np.uint32)[rows], len(pairs))
+                sums.add(pairs // many, keys[pairs % many], n.astype(np.int64))
+                new = np.flatnonzero(~np.isin(keys, named))  # a task names a term once
+                named = np.union1d(named, keys[new])
+                some = pa.array(left[new])
+                none = [None] * len(new)
+                yield record_batch(schema, [flat.langs.take(some), none, keys[new], flat.terms.take(some).cast(pa.binary()), [0] * len(new)])
+        group, keys, n = sums.taken()
+        lang, source = (pa.array([g[i] for g in groups], pa.string()).take(pa.array(group)) for i in (0, 1))
+        yield record_batch(schema, [lang, source, keys, [None] * len(n), n])
+
+    found = lists.mapInArrow(run, "lang string, source string, key long, term binary, n long")
+    found = found.groupBy("key", "lang", "source").agg(F.sum("n").alias("n"), F.max("term").alias("term"))
+    found = stored(found.join(kept, "key", "left_semi"), "key-counts")
+    names = found.filter("term IS NOT NULL").select("key", "term")
+    return found.filter("n > 0").drop("term").join(names, "key").select("lang", "source", "term", "n")
 
 
 def share(count: str, whole: str, terms: str):
@@ -259,8 +272,9 @@ def pair_sums(counts: DataFrame, groups: DataFrame, sizes: DataFrame) -> DataFra
 def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP_TERMS) -> DataFrame:
     """lang, source, part, item, value, rank: part 'pair' ranks the other sources, part 'term' the group's own words."""
     lists = stored(term_lists(docs), "terms")
-    kept, longest = kept_terms(lists, least)
+    kept, longest = kept_keys(lists, least)
     counts = stored(term_counts(lists, kept, longest), "term-counts")
+    kept = stored(counts.select("lang", "term").distinct(), "kept-terms")
     every = stored(lists.select("lang", "source").distinct(), "groups")  # sources by langs: far fewer than documents
     sizes = kept.groupBy("lang").agg(F.count("*").alias("terms"))
     sizes = every.groupBy("lang").agg(F.count("*").alias("sources")).join(sizes, "lang", "left").na.fill(0, ["terms"])

@@ -10,7 +10,7 @@ Two texts are linked if the sets of their word shingles share `percent` hundredt
    that agree five standard deviations less than linked ones should are discarded; the rest is confirmed on the whole
    sets, a leader's text being sent once for many partners.
 4. Components of the confirmed links, by alternating large-star and small-star. Buckets that lie within one component are
-   settled. The others get further leaders, and then the exact rest:
+   settled.
 5. Rest. Sets of buckets that still hold several components are compared by size classes and ordered prefixes. Linked
    sets of sizes a and b share `percent` / (100 + percent) * (a + b) shingles, so that all but that many, plus one, of
    each set's shingles, the rare ones first, must have one in common. The prefix is so much shorter for a given class of
@@ -41,9 +41,8 @@ from orderpulse.llm.stars import components
 WORDS = 5
 PERCENT = 85
 BANDS, ROWS = 24, 5
-STARS = 2  # leaders of a bucket before the exact rest
 PARTNERS = 500  # partners of one leader in a task, on average
-COUNTERS = 1 << 20  # of the table that orders shingles
+COUNTERS = 1 << 18  # of the table that orders shingles
 BITMAP_BITS = 24
 CLASS = 1.05  # sizes of one class differ by this factor at most
 CHUNK = 1 << 15  # shingles hashed at a time
@@ -208,8 +207,8 @@ def prefixes(some: DataFrame, sets: DataFrame, docs: DataFrame, words: int, perc
 
     found = texts.select("text").mapInArrow(count, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n"))
     held = found.toPandas()
-    counts = np.zeros(COUNTERS, np.int64)
-    counts[held["counter"].to_numpy(np.int64)] = held["n"].to_numpy(np.int64)
+    counts = np.zeros(COUNTERS, np.uint16)
+    counts[held["counter"].to_numpy(np.int64)] = np.minimum(held["n"].to_numpy(np.int64), np.iinfo(np.uint16).max)
     schema = pa.schema([("group", pa.int64()), ("fp", pa.int64()), ("size", pa.int64()), ("place", pa.int64()), ("side", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,12 +273,10 @@ def meetings(rows: DataFrame, percent: int) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def open_buckets(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(band, fp, central, label) of the buckets that hold several components."""
-    if labels is None:
-        return buckets.withColumn("label", F.col("fp"))
+def open_buckets(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(band, fp, label) of the buckets that hold several components."""
     rows = buckets.join(labels.withColumnRenamed("node", "fp"), "fp", "left")
-    rows = rows.select("band", "fp", "central", F.coalesce("label", "fp").alias("label"))
+    rows = rows.select("band", "fp", F.coalesce("label", "fp").alias("label"))
     some = rows.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("band")
     return rows.join(some, "band")
 
@@ -293,7 +290,7 @@ def linked_sets(docs: DataFrame, sets: DataFrame, words: int, percent: int, band
     # A set close to what many others have in common is in many large buckets, and makes a good leader.
     central = buckets.groupBy("fp").agg(F.sum("members").alias("central"))
     buckets = scratch.store(buckets.drop("members").join(central, "fp"), "buckets")
-    links, labels = None, None
+    links = None
 
     def joined(pairs: DataFrame) -> DataFrame:
         """Components after confirming the pairs as well."""
@@ -304,17 +301,9 @@ def linked_sets(docs: DataFrame, sets: DataFrame, words: int, percent: int, band
         links = new if links is None else links.union(new)
         return components(links, scratch)
 
-    for turn in range(STARS):
-        crowded = open_buckets(buckets, labels)
-        if turn:
-            crowded = scratch.store(crowded, "open")
-            if crowded.isEmpty():
-                return labels
-        order = F.xxhash64(F.lit(turn), "fp") if turn else F.struct(-F.col("central"), F.col("fp"))
-        leader = F.min_by(F.struct(F.col("fp").alias("a"), F.col("label").alias("to")), order)
-        leaders = crowded.groupBy("band").agg(leader.alias("l")).select("band", "l.*")
-        pairs = crowded.join(leaders, "band").filter("label <> to").select("a", F.col("fp").alias("b")).distinct()
-        labels = joined(pairs)
+    leader = F.min_by(F.col("fp"), F.struct(-F.col("central"), F.col("fp")))
+    leaders = buckets.groupBy("band").agg(leader.alias("a"))
+    labels = joined(buckets.join(leaders, "band").filter("fp <> a").select("a", F.col("fp").alias("b")).distinct())
     crowded = scratch.store(open_buckets(buckets, labels).select("fp", "label").distinct(), "open")
     if crowded.isEmpty():
         return labels

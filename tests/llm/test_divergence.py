@@ -1,0 +1,97 @@
+"""The source divergence audit against a plain version, and its edge cases."""
+
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from llm_data import SF, docs_frame
+
+from orderpulse.llm import divergence
+from orderpulse.llm.common import stored, table
+
+TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
+UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain(rows, least=10, top=10):
+    docs, counts, groups = Counter(), {}, {}
+    for text, lang, source in rows:
+        lang, source = lang or "", source or ""
+        groups.setdefault(lang, set()).add(source)
+        found = TERM.findall((text or "").translate(UPPER))
+        counts.setdefault((lang, source), Counter()).update(found)
+        docs.update((lang, t) for t in set(found))
+    out = []
+    for lang, sources in groups.items():
+        kept = [t for (x, t), n in docs.items() if x == lang and n >= least]
+
+        def shares(count):
+            whole = sum(count[t] for t in kept)
+            return {t: 1 + 10**9 * (count[t] + 2) // (whole + 2 * len(kept)) for t in kept}
+
+        of = {s: shares(counts[lang, s]) for s in sources}
+        own = shares(sum((counts[lang, s] for s in sources), Counter()))
+        gap = lambda p, q: (p - q) ** 2 // (p + q)
+        for s in sources:
+            pairs = [("pair", o, sum(gap(of[s][t], of[o][t]) for t in kept)) for o in sources if o != s]
+            terms = [("term", t, gap(of[s][t], own[t])) for t in kept if counts[lang, s][t] and of[s][t] > own[t]]
+            for ranked, last in ((pairs, None), (terms, top)):
+                ranked.sort(key=lambda x: (-x[2], x[1].encode()))
+                out += [(lang, s, *x, i + 1) for i, x in enumerate(ranked[:last])]
+    return sorted(out)
+
+
+def result(docs):
+    return sorted(map(tuple, divergence.audit(docs).collect()))
+
+
+def rows_of(docs):
+    return [(r.text, r.lang, r.source) for r in docs.collect()]
+
+
+def test_given_documents(spark):
+    docs = table(spark, SF, "documents")
+    assert result(docs) == plain(rows_of(docs))
+
+
+def test_nulls_empties_and_clashing_columns(spark):
+    rng = np.random.default_rng(4)
+    words = ["a", "ab", "abc", "abcdefghij", "abcdefghijk", "Ä", "ÄÖ", "日本", "日", "x" * 90, "x" * 91, "y" * 300]
+    rows = []
+    for i in range(240):
+        text = " 1,".join(rng.choice(words, rng.integers(0, 9))) if i % 9 else [None, "", "12 34"][i % 3]
+        rows.append((i % 50 or None, text, [None, "", "en", "de"][i % 4], [None, "", "a", "b", "ü"][i % 5]))
+    rows += [(1, "rare words only", "xx", "a"), (1, "rare words only", "xx", "a"), (2, None, "xx", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    clash = docs.selectExpr("*", "'x' AS term", "1 AS n", "2 AS key", "3 AS part", "4 AS rank", "5 AS value")
+    expected = plain(rows_of(docs))
+    assert result(docs) == expected == result(clash)
+    assert [r[4] for r in expected if r[0] == "xx"] == [0, 0]
+
+
+def test_no_rows(spark):
+    assert result(docs_frame(spark, ["x"]).limit(0)) == []
+
+
+def test_terms_at_the_threshold(spark):
+    texts = ["Kept onlyonce"] + ["kept kept nine"] * 9 + ["prefixes"] * 5 + ["prefixed"] * 5
+    docs = docs_frame(spark, texts)
+    lists = stored(divergence.term_lists(docs), "test")
+    kept, longest = divergence.kept_keys(lists)
+    found = divergence.term_counts(lists, kept, longest).groupBy("term").sum("n").collect()
+    assert {(bytes(r.term), r["sum(n)"]) for r in found} == {(b"kept\0", 19)}
+
+
+@pytest.mark.parametrize("cells", [1, 64])
+def test_blocks_do_not_change_sums(spark, monkeypatch, cells):
+    monkeypatch.setattr(divergence, "BLOCK_CELLS", cells)
+    monkeypatch.setattr(divergence, "HELD", 16)
+    docs = docs_frame(spark, [f"alpha beta{'x' * (i % 3)} gamma delta{'y' * (i % 7)}" for i in range(150)])
+    assert result(docs) == plain(rows_of(docs))
+
+
+def test_shares_stay_exact_beyond_64_bits(spark):
+    row = spark.sql("SELECT 20000000000000 AS n, 3000000000000000 AS whole, 7 AS terms")
+    found = row.select(divergence.share("n", "whole", "terms").alias("p")).first().p
+    assert found == 1 + 10**9 * (20000000000000 + 2) // (3000000000000000 + 14)

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from llm_data import SF, docs_frame
 from test_decontaminate import plain as plain_matches
-from test_simhash import plain_components, plain_fingerprint
+from test_minhash import plain_kept
 
 from orderpulse.llm import secrets
 from orderpulse.llm.common import stored, table
@@ -28,12 +28,7 @@ def test_stages_on_given_documents(spark):
     assert sum(agree) > 0.9 * len(agree) and good.schema == docs.schema
 
     single = stored(stage("near_dedup")(spark, good, SF), "test")
-    fps = {i: plain_fingerprint(t) for i, t in kept.items()}
-    label = plain_components(fps.values())
-    first = {}
-    for i, f in fps.items():
-        first[label[f]] = min(i, first.get(label[f], i))
-    assert texts(single) == {i: kept[i] for i in first.values()} and single.schema == docs.schema
+    assert texts(single) == {i: kept[i] for i in plain_kept(kept.items())} and single.schema == docs.schema
 
     clean = stored(stage("decontaminate")(spark, single, SF), "test")
     items = [(r.item_id, r.text) for r in table(spark, SF, "benchmark").collect()]
