@@ -47,9 +47,11 @@ _TERM = re.compile(rb"[A-Za-z\x80-\xff]+")  # UTF-8 bytes: letters of ASCII, and
 
 
 def term_lists(docs: DataFrame) -> DataFrame:
-    """(lang, source, terms, counts) for every row: its distinct terms in byte order, each ended by a zero byte, as one
-    binary value, and how often it has each, as 4-byte integers."""
-    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("terms", pa.binary()), ("counts", pa.binary())])
+    """(lang, source, grp, terms, counts) for every row: a hash of lang and source, its distinct terms in byte order, each
+    ended by a zero byte, as one binary value, and how often it has each, as 4-byte integers."""
+    schema = pa.schema(
+        [("lang", pa.string()), ("source", pa.string()), ("grp", pa.int64()), ("terms", pa.binary()), ("counts", pa.binary())]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -60,11 +62,11 @@ def term_lists(docs: DataFrame) -> DataFrame:
                     names = sorted(found)
                     terms.append(b"\0".join([*names, b""]))
                     counts.append(np.fromiter(map(found.__getitem__, names), np.uint32, len(names)).tobytes())
-                yield record_batch(schema, [part["lang"], part["source"], terms, counts])
+                yield record_batch(schema, [part["lang"], part["source"], part["grp"], terms, counts])
 
     empty = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
-    rows = docs.select(empty("lang"), empty("source"), empty("text"))
-    return rows.mapInArrow(run, "lang string, source string, terms binary, counts binary")
+    rows = docs.select(empty("lang"), empty("source"), empty("text")).withColumn("grp", F.xxhash64("lang", "source"))
+    return rows.mapInArrow(run, "lang string, source string, grp long, terms binary, counts binary")
 
 
 def keys_of(langs: list[str], prefixes: list[bytes]) -> np.ndarray:
@@ -188,10 +190,10 @@ def kept_keys(lists: DataFrame, least: int = LEAST_DOCS) -> tuple[DataFrame, int
 def term_counts(lists: DataFrame, kept: DataFrame, longest: int) -> DataFrame:
     """(lang, source, term, n) with n > 0 for the kept terms."""
     bits = bitmap(kept)
-    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("key", pa.int64()), ("term", pa.binary()), ("n", pa.int64())])
+    schema = pa.schema([("key", pa.int64()), ("grp", pa.int64()), ("n", pa.int64()), ("term", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, groups, named = _Sums(2), {}, np.zeros(0, np.int64)
+        sums, named = _Sums(2), np.zeros(0, np.int64)
         for batch in batches:
             for part in pieces(batch, "terms", PIECE):
                 flat = _Flat(part)
@@ -203,26 +205,23 @@ def term_counts(lists: DataFrame, kept: DataFrame, longest: int) -> DataFrame:
                 of[left] = np.arange(len(left))
                 codes = of[flat.code]
                 rows = np.flatnonzero(codes >= 0)
-                names = list(zip(part["lang"].to_pylist(), part["source"].to_pylist()))
-                group = np.array([groups.setdefault(x, len(groups)) for x in names], np.int64)[flat.doc[rows]]
+                group, groups = pd.factorize(part["grp"].to_numpy())
                 many = max(1, len(left))
-                at, pairs = pd.factorize(group * many + codes[rows])
+                at, pairs = pd.factorize(group[flat.doc[rows]] * many + codes[rows])
                 n = np.bincount(at, np.frombuffer(b"".join(part["counts"].to_pylist()), np.uint32)[rows], len(pairs))
-                sums.add(pairs // many, keys[pairs % many], n.astype(np.int64))
+                sums.add(keys[pairs % many], groups[pairs // many], n.astype(np.int64))
                 new = np.flatnonzero(~np.isin(keys, named))  # a task names a term once
                 named = np.union1d(named, keys[new])
-                some = pa.array(left[new])
                 none = [None] * len(new)
-                yield record_batch(schema, [flat.langs.take(some), none, keys[new], flat.terms.take(some).cast(pa.binary()), [0] * len(new)])
-        group, keys, n = sums.taken()
-        lang, source = (pa.array([g[i] for g in groups], pa.string()).take(pa.array(group)) for i in (0, 1))
-        yield record_batch(schema, [lang, source, keys, [None] * len(n), n])
-
-    found = lists.mapInArrow(run, "lang string, source string, key long, term binary, n long")
-    found = found.groupBy("key", "lang", "source").agg(F.sum("n").alias("n"), F.max("term").alias("term"))
-    found = stored(found.join(kept, "key", "left_semi"), "key-counts")
-    names = found.filter("term IS NOT NULL").select("key", "term")
-    return found.filter("n > 0").drop("term").join(names, "key").select("lang", "source", "term", "n")
+                yield record_batch(schema, [keys[new], none, none, flat.terms.take(pa.array(left[new])).cast(pa.binary())])
+        key, group, n = sums.taken()
+        yield record_batch(schema, [key, group, n, [None] * len(n)])
+
+    found = stored(lists.select("lang", "grp", "terms", "counts").mapInArrow(run, "key long, grp long, n long, term binary"), "key-counts")
+    names = found.filter("term IS NOT NULL").select("key", "term").distinct().join(kept, "key", "left_semi")
+    counts = found.filter("n > 0").groupBy("key", "grp").agg(F.sum("n").alias("n"))
+    groups = lists.select("grp", "lang", "source").distinct()
+    return counts.join(names, "key").join(groups, "grp").select("lang", "source", "term", "n")
 
 
 def share(count: str, whole: str, terms: str):
