@@ -10,28 +10,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def with_previous(
-    rows: DataFrame, key: str, time: str, tie: str, value: str, alias: str, unit: str = "HOUR"
-) -> DataFrame:
+def ranged(rows: DataFrame, *order: str) -> DataFrame:
+    """Rows in partitions of about equal size by ranges of `order`, with the partition's number as `_part`."""
+    return rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+
+
+def with_previous(rows: DataFrame, key: str, time: str, tie: str, value: str, alias: str) -> DataFrame:
     """Add `value` of the row before, within `key`, ordered by `time`, then `tie`, which is unique within a key.
 
-    A key's rows are looked at per `unit` of time, and the last row of each unit is carried to the key's
-    next one. So a key spreads over as many tasks as it has units, one plan serves every size, and nothing
-    is counted first. The carried rows, one per key and unit, are the only ones that meet by key.
+    Rows are ranged by key, time and tie, so that a key with any share of the rows, in one hour or without any times,
+    lies in as many partitions as its size asks for, and each partition looks at its own rows of a key. A second window
+    carries values over the borders: only the first and last row of each partition meet there by key, two for every
+    partition that a key touches. One lazy plan serves every size; it shuffles the rows three times, and none twice in
+    different ways, so that a partition's number means the same everywhere.
     """
     order = [F.col(time), F.col(tie)]
-    split = rows.withColumn("_unit", F.date_trunc(unit, time))
+    own = Window.partitionBy("_part", key).orderBy(*order)
     carried = F.struct(F.col(value).alias("value"))
-    ends = split.groupBy(F.col(key).alias("_key"), F.col("_unit").alias("_of")).agg(
-        F.max_by(carried, F.struct(*order)).alias("_end")
-    )
-    before = F.lag("_end").over(Window.partitionBy("_key").orderBy("_of"))
-    borders = ends.select("_key", "_of", before.alias("_before"))
-    within = F.lag(carried).over(Window.partitionBy(key, "_unit").orderBy(*order))
-    met = F.col(key).eqNullSafe(F.col("_key")) & F.col("_unit").eqNullSafe(F.col("_of"))
-    return (
-        split.withColumn("_within", within)
-        .join(borders, met)
-        .withColumn(alias, F.coalesce("_within", "_before")["value"])
-        .select(*rows.columns, alias)
-    )
+    found = ranged(rows, key, time, tie).withColumns({"_within": F.lag(carried).over(own), "_after": F.lead(F.lit(1)).over(own)})
+    border = F.col("_within").isNull() | F.col("_after").isNull()
+    found = found.withColumn("_meets", F.when(~border, F.col("_part")))
+    over = F.lag(carried).over(Window.partitionBy(key, "_meets").orderBy(*order))
+    found = found.withColumn("_before", F.when(F.col("_within").isNull(), over))
+    return found.select(*rows.columns, F.coalesce("_within", "_before")["value"].alias(alias))

@@ -7,15 +7,15 @@ failed contract of severity error raises, so later layers are not touched.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 
 from orderpulse.operators import contracts, facts, mart
 from orderpulse.operators.publish import publish
-from orderpulse.schemas import DIMENSIONS, ITEM
+from orderpulse.schemas import DIMENSIONS
 from orderpulse.sources.dimensions import read_dimension
-from orderpulse.sources.events import stream_events
-from orderpulse.sources.tables import Layers, clustered, refresh
-from orderpulse.streaming.flows import append, run_available, silver_stream
+from orderpulse.sources.landing import FILES_PER_BATCH, stream_landing
+from orderpulse.sources.tables import Layers, clustered, over_folder, refresh, table_folder
+from orderpulse.streaming.flows import append, run_available
+from orderpulse.streaming.merge import merge_stream
 
 # Landed dimension -> gold table.
 GOLD_DIMENSIONS = {
@@ -26,9 +26,11 @@ GOLD_DIMENSIONS = {
 }
 
 
-def land_events(spark: SparkSession, layers: Layers, raw: str, checkpoint: str) -> list:
-    """Append new event files to the bronze event table."""
-    flow = append(stream_events(spark, raw), checkpoint)
+def land_events(
+    spark: SparkSession, layers: Layers, raw: str, checkpoint: str, files_per_batch: int | None = FILES_PER_BATCH
+) -> list:
+    """Append new event files to the bronze event table, whole: see sources/landing.py."""
+    flow = append(stream_landing(spark, raw, files_per_batch), checkpoint)
     return run_available(flow, layers.name("bronze", "order_events"))
 
 
@@ -39,10 +41,16 @@ def land_dimensions(spark: SparkSession, layers: Layers, folder: str) -> None:
         refresh(rows, layers.name("bronze", f"dim_{name}"))
 
 
-def clean_events(spark: SparkSession, layers: Layers, checkpoint: str) -> list:
-    """Append what is new in bronze, cleaned, to the silver event table."""
-    flow = append(silver_stream(layers.stream(spark, "bronze", "order_events")), checkpoint)
-    return run_available(flow, layers.name("silver", "order_events"))
+def clean_events(
+    spark: SparkSession, layers: Layers, checkpoint: str, files_per_batch: int | None = FILES_PER_BATCH
+) -> list:
+    """Insert what is new in bronze, cleaned, into the silver event table, which lies in folders by event date."""
+    name = layers.name("silver", "order_events")
+    folder = table_folder(spark, name)
+    bronze = layers.stream(spark, "bronze", "order_events", files_per_batch)
+    progress = run_available(merge_stream(bronze, folder, checkpoint))
+    over_folder(spark, name, folder)
+    return progress
 
 
 def build_gold(spark: SparkSession, layers: Layers, events: DataFrame | None = None) -> list[Row]:
@@ -69,8 +77,7 @@ def build_gold(spark: SparkSession, layers: Layers, events: DataFrame | None = N
     for landed, table in GOLD_DIMENSIONS.items():
         report += put(table, facts.dimension(layers.read(spark, "bronze", f"dim_{landed}")))
     report += put("fct_order_events", facts.order_event_log(silver))
-    basket = silver if "items" in silver.columns else silver.withColumn("items", F.lit(None).cast(f"array<{ITEM}>"))
-    report += put("fct_order_items", facts.order_items(basket))
+    report += put("fct_order_items", facts.order_items(silver))
     # Readers ask for date ranges, and the aggregate leaves every date in every file.
     orders = clustered(facts.order_lifecycle(silver), "placed_at", "order_id")
     report += put("fct_orders", orders)

@@ -29,8 +29,11 @@ class Layers:
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
         return spark.read.table(self.name(layer, table))
 
-    def stream(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
-        return spark.readStream.table(self.name(layer, table))
+    def stream(self, spark: SparkSession, layer: str, table: str, files_per_batch: int | None = None) -> DataFrame:
+        reader = spark.readStream
+        if files_per_batch is not None:
+            reader = reader.option("maxFilesPerTrigger", files_per_batch)
+        return reader.table(self.name(layer, table))
 
     def create_schemas(self, spark: SparkSession) -> None:
         for layer in ("bronze", "silver", "gold"):
@@ -67,6 +70,19 @@ def refresh_bucketed(rows: DataFrame, name: str, key: str, buckets: int) -> None
     )
 
 
+def table_folder(spark: SparkSession, name: str) -> str:
+    """Where a table lies that is written by its folder."""
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/folders/{name}"
+
+
+def over_folder(spark: SparkSession, name: str, folder: str) -> None:
+    """Table `name` over a partitioned folder, with the partitions that it has now."""
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{folder}'")
+    spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+
+
 def table_count(spark: SparkSession, schema: str) -> int:
     """Number of tables in a schema, without temporary views."""
     return sum(not table.isTemporary for table in spark.catalog.listTables(schema))

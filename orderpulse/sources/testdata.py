@@ -118,6 +118,28 @@ def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LINE = """concat(
+  '{"event_id":"', event_id, '","event_type":"', kind, '"', if(k % 10 = 3, concat(',"app_version":', k), ''),
+  ',"payload":{"estimated_prep_minutes":', k,
+  CASE k % 10 WHEN 4 THEN concat(',"gmv":"', cents, ' EUR"') WHEN 5 THEN concat(',"gmv":', cents, '.5')
+              ELSE concat(',"gmv":', cents) END,
+  if(k % 10 = 6, ',"channel":{"name":"web"}', ''),
+  CASE k % 10 WHEN 7 THEN concat(',"items":[{"menu_item_id":"m', k, '","quantity":1,"spice":2}]')
+              WHEN 8 THEN concat(',"items":[{"menu_item_id":"m', k, '","quantity":1}]') ELSE '' END,
+  '}}')"""
+
+
+def delivered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as lines of event files, of which some have drifted and some are torn."""
+    rows = table(spark, sf_dir, "events").selectExpr(
+        "*", "from_json(props, 'k int').k AS k", "bigint(round(value * 100)) AS cents"
+    )
+    lines = rows.selectExpr("event_id", "k", KIND, "cents").selectExpr("event_id", "k", f"{LINE} AS line")
+    return lines.selectExpr(
+        "CASE k WHEN 41 THEN left(line, length(line) - 3) WHEN 42 THEN concat('[', event_id, ']') ELSE line END AS value"
+    )
+
+
 # ---- orders and lines as order facts -------------------------------------------------
 
 
