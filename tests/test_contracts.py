@@ -29,32 +29,39 @@ def test_clean_rows_pass_everything(spark):
     assert len(got) == 8 and set(got.values()) == {(0, "pass")}
 
 
-def test_bad_rows_fail_as_planted(spark):
-    assert failures(spark, fx.BAD) == {
-        ("unique", "event_id"): (1, "fail"),
-        ("not_null", "event_id"): (1, "fail"),
-        ("accepted_values", "event_type"): (1, "fail"),
-        ("accepted_range", "gmv"): (1, "fail"),
-        ("expression_is_true", "lifecycle_order"): (1, "fail"),
-        ("relationships", "vendor_id"): (1, "fail"),
-        ("relationships", "customer_id"): (0, "pass"),
-        ("relationships", "driver_id"): (0, "pass"),
-    }
-    assert failures(spark, fx.BAD, "prod")["unique", "event_id"] == (1, "warn")
+FAILS = {
+    "missing id": ("not_null", "event_id"),
+    "id of another event": ("unique", "event_id"),
+    "type outside the contract": ("accepted_values", "event_type"),
+    "negative amount": ("accepted_range", "gmv"),
+    "delivered before it was placed": ("expression_is_true", "lifecycle_order"),
+    "vendor without a row": ("relationships", "vendor_id"),
+}
+
+
+@pytest.mark.parametrize("defect", fx.DEFECTS)
+def test_each_defect_fails_its_contract_only(spark, defect):
+    got = failures(spark, fx.with_defect(defect))
+    assert {k: x for k, x in got.items() if x != (0, "pass")} == {FAILS[defect]: (1, "fail")}
+
+
+def test_all_defects_at_once_only_warn_in_production(spark):
+    got = failures(spark, fx.BAD, "prod")
+    assert {k for k, x in got.items() if x == (1, "warn")} == set(FAILS.values()) and len(got) == 8
 
 
 def test_failing_rows(spark):
     t = tables(spark, fx.BAD)
     orders, log = t["fct_orders"], t["fct_order_events"]
-    assert fx.rows(contracts.unique_failures(log, "event_id"), "event_id", "copies") == [("log-41", 2)]
-    assert fx.rows(contracts.not_null_failures(log, "event_id"), "order_id") == [("ticket-g",)]
+    assert fx.rows(contracts.unique_failures(log, "event_id"), "event_id", "copies") == [("north-2/confirmed", 2)]
+    assert fx.rows(contracts.not_null_failures(log, "event_id"), "order_id") == [("south-3",)]
     bad = contracts.accepted_values_failures(log, "event_type", v.EVENT_TYPES, "occurred_at")
-    assert fx.rows(bad, "event_type", "rows", "first_seen") == [("order_coupon_viewed", 1, fx.at(2, "12:00"))]
-    assert fx.rows(contracts.accepted_range_failures(orders, "gmv", low=0), "order_id") == [("ticket-c",)]
+    assert fx.rows(bad, "event_type", "rows", "first_seen") == [("order_rated", 1, fx.at(12, "09:30"))]
+    assert fx.rows(contracts.accepted_range_failures(orders, "gmv", low=0), "order_id") == [("east-1",)]
     late = contracts.expression_failures(orders, contracts.LIFECYCLE_ORDER)
-    assert fx.rows(late, "order_id") == [("ticket-f",)]
+    assert fx.rows(late, "order_id") == [("south-1",)]
     orphans = contracts.orphan_keys(orders, "vendor_id", t["dim_vendor"], "vendor_id")
-    assert fx.rows(orphans, "vendor_id", "rows") == [("kitchen-closed", 1)]
+    assert fx.rows(orphans, "vendor_id", "rows") == [("stall-gone", 1)]
 
 
 def test_lifecycle_rule_is_three_valued(spark):
@@ -87,10 +94,10 @@ def test_publish_only_what_passes(spark):
 
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     (line,) = publish(spark, facts.order_lifecycle(fx.events(spark, fx.CLEAN)), name, audit)
-    assert line.status == "pass" and spark.table(name).count() == 2
+    assert line.status == "pass" and spark.table(name).count() == 3
     with pytest.raises(contracts.ContractViolation, match=r"accepted_range\(fct_orders.gmv\): 1"):
-        publish(spark, facts.order_lifecycle(fx.events(spark, fx.BAD)), name, audit)
-    assert spark.table(name).count() == 2
+        publish(spark, facts.order_lifecycle(fx.events(spark, fx.with_defect("negative amount"))), name, audit)
+    assert spark.table(name).count() == 3
     publish(spark, facts.order_lifecycle(fx.events(spark, fx.CLEAN[:5])), name, audit)
     assert spark.table(name).count() == 1
     publish(spark, spark.range(3), name)
@@ -106,9 +113,9 @@ def test_known_issues(spark):
 
 
 def test_conflicting_duplicates(spark):
-    bad = fx.events(spark, [*fx.BAD, fx.BAD[2]])
+    bad = fx.events(spark, [*fx.with_defect("id of another event"), fx.CLEAN[2]])
     assert fx.rows(checks.conflicting_duplicates(bad), "*") == [
-        ("log-41", 2, "ticket-a", "order_placed", "ticket-g", "order_placed")
+        ("north-2/confirmed", 2, "north-2", "order_confirmed", "south-2", "order_placed")
     ]
 
 
@@ -130,16 +137,15 @@ def test_illegal_transitions(spark):
 def test_amounts(spark):
     orders = facts.order_lifecycle(fx.events(spark, fx.CLEAN))
     assert fx.rows(checks.amount_mismatches(orders), "*") == [
-        ("gmv", "ticket-a", 1730, 1980), ("gmv", "ticket-b", 655, 640)
+        ("gmv", "west-1", 645, 640)
     ]
     items = spark.createDataFrame(
-        [("ticket-a", 2, 350, 700), ("ticket-a", 1, 700, 700), ("ticket-b", 1, 100, 90)],
+        [("north-1", 2, 600, 1200), ("north-1", 7, 100, 700), ("north-2", 1, 700, 700), ("west-1", 1, 500, 490)],
         "order_id string, quantity bigint, unit_price bigint, line_total bigint",
     )
     assert fx.rows(checks.amount_identity(orders, items), "*") == sorted(
         [
-            ("gmv", "ticket-a", 1730, 1980), ("gmv", "ticket-b", 655, 640),
-            ("line_total", "ticket-b", 100, 90), ("food_cost", "ticket-b", 90, 350),
+            ("gmv", "west-1", 645, 640), ("line_total", "west-1", 500, 490), ("food_cost", "west-1", 490, 500),
         ],
         key=repr,
     )
@@ -150,4 +156,4 @@ def test_null_key_profile(spark):
         "driver_id", F.when(F.col("event_type") != "order_delivered", F.col("driver_id"))
     )
     got = {r.event_type: tuple(r)[1:] for r in checks.null_key_profile(log).collect()}
-    assert got["order_delivered"] == (2, 0, 0, 2) and got["order_placed"] == (6, 0, 0, 0)
+    assert got["order_delivered"] == (2, 0, 0, 2) and got["order_placed"] == (8, 0, 0, 0)

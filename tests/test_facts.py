@@ -21,21 +21,25 @@ def test_clean_orders(spark):
         "discount", "final_status", "cancelled_by", "cancel_reason",
     )
     assert got == [
-        ("ticket-a", "guest-ada", "kitchen-elm", "rider-kai", 1980, 0, "delivered", None, None),
-        ("ticket-b", "guest-bo", "kitchen-fir", None, 640, 0, "cancelled", "customer", "changed_mind"),
+        ("north-1", "eater-li", "stall-soup", "bike-7", 2450, 50, "delivered", None, None),
+        ("north-2", "eater-mo", "stall-soup", None, 900, 0, "confirmed", None, None),
+        ("west-1", "eater-mo", "stall-tea", None, 640, 0, "cancelled", "vendor", "too_busy"),
     ]
 
 
-def test_bad_orders(spark):
-    assert fx.rows(orders(spark, fx.BAD), "order_id", "final_status", "gmv", "driver_id") == [
-        ("ticket-a", "delivered", 1980, "rider-kai"),
-        ("ticket-b", "cancelled", 640, None),
-        ("ticket-c", "placed", -75, None),
-        ("ticket-d", "placed", 1110, None),
-        ("ticket-e", "unknown", None, None),
-        ("ticket-f", "delivered", 1310, "rider-kai"),
-        ("ticket-g", "confirmed", 870, None),
-    ]
+@pytest.mark.parametrize(
+    "defect, order",
+    [
+        ("negative amount", ("east-1", "placed", -120, None)),
+        ("vendor without a row", ("east-2", "confirmed", 830, None)),
+        ("type outside the contract", ("east-3", "unknown", None, None)),
+        ("delivered before it was placed", ("south-1", "delivered", 1500, "bike-7")),
+        ("id of another event", ("south-2", "placed", 410, None)),
+        ("missing id", ("south-3", "confirmed", 333, None)),
+    ],
+)
+def test_bad_orders(spark, defect, order):
+    assert fx.rows(orders(spark, fx.DEFECTS[defect]), "order_id", "final_status", "gmv", "driver_id") == [order]
 
 
 def test_row_order_does_not_matter(spark):
@@ -113,26 +117,28 @@ def test_orders_against_brute_force(spark):
 
 
 def test_daily_mart_clean(spark):
-    (row,) = mart.daily_metrics(orders(spark, fx.CLEAN)).collect()
-    assert row.asDict() == {
-        "order_date": date(2026, 6, 1), "total_orders": 2, "delivered_orders": 1,
-        "cancelled_orders": 1, "in_progress_orders": 0, "total_gmv": 1980,
-        "avg_order_value": 1980.0, "total_discount_given": 0, "avg_delivery_time_minutes": 50.0,
-        "avg_prep_time_minutes": 18.0, "unique_customers": 2, "unique_vendors_active": 2,
-        "unique_drivers_active": 1, "cancellation_rate": 0.5, "completion_rate": 0.5,
+    first, second = mart.daily_metrics(orders(spark, fx.CLEAN)).orderBy("order_date").collect()
+    assert first.asDict() == {
+        "order_date": date(2025, 3, 9), "total_orders": 2, "delivered_orders": 1,
+        "cancelled_orders": 0, "in_progress_orders": 1, "total_gmv": 2450,
+        "avg_order_value": 2450.0, "total_discount_given": 50, "avg_delivery_time_minutes": 61.0,
+        "avg_prep_time_minutes": 22.0, "unique_customers": 2, "unique_vendors_active": 1,
+        "unique_drivers_active": 1, "cancellation_rate": 0.0, "completion_rate": 0.5,
     }
+    assert (second.order_date, second.cancelled_orders, second.total_gmv, second.cancellation_rate) == (date(2025, 3, 10), 1, None, 1.0)
 
 
-def test_daily_mart_bad(spark):
-    got = mart.daily_metrics(orders(spark, fx.BAD)).select(
+def test_daily_mart_of_defects(spark):
+    some = ("type outside the contract", "delivered before it was placed", "vendor without a row", "negative amount")
+    got = mart.daily_metrics(orders(spark, [row for name in some for row in fx.DEFECTS[name]])).select(
         "order_date", "total_orders", "delivered_orders", "cancelled_orders", "in_progress_orders",
         "total_gmv", "avg_delivery_time_minutes", "avg_prep_time_minutes", "unique_customers",
         "unique_vendors_active", "unique_drivers_active", "cancellation_rate", "completion_rate",
     )
     assert [tuple(r) for r in got.orderBy("order_date").collect()] == [
         (None, 1, 0, 0, 0, None, None, None, 1, 1, 0, 0.0, 0.0),
-        (date(2026, 6, 1), 2, 1, 1, 0, 1980, 50.0, 18.0, 2, 2, 1, 0.5, 0.5),
-        (date(2026, 6, 2), 4, 1, 0, 3, 1310, -60.0, 18.0, 2, 3, 1, 0.0, 0.25),
+        (date(2025, 3, 12), 1, 0, 0, 1, None, None, None, 1, 1, 0, 0.0, 0.0),
+        (date(2025, 3, 13), 2, 1, 0, 1, 1500, -15.0, 4.0, 2, 2, 1, 0.0, 0.5),
     ]
 
 

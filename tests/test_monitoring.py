@@ -101,7 +101,7 @@ def test_layer_stats(spark):
     bronze = silver.union(silver).withColumn("occurred_at", F.lit("not a time"))
     got = fx.rows(monitoring.layer_stats(bronze, silver, silver.limit(0), 8), "*")
     assert got == [
-        ("bronze", 14, None), ("gold", 0, None), ("models", 8, None), ("silver", 7, fx.at(1, "11:01"))
+        ("bronze", 20, None), ("gold", 0, None), ("models", 8, None), ("silver", 10, fx.at(10, "08:28"))
     ]
 
 

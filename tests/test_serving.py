@@ -126,8 +126,8 @@ def test_cancellation_reasons(placed):
 
 def test_customer_history(spark):
     events = fx.events(spark, fx.BAD[::-1])
-    got = [r.event_id for r in serving.customer_history(events, "guest-ada", 3).collect()]
-    assert got == ["log-41", "log-42", "log-43"]
+    got = [r.event_id for r in serving.customer_history(events, "eater-li", 3).collect()]
+    assert got == ["north-1/placed", "north-1/confirmed", "north-1/prepared"]
 
 
 MART = (

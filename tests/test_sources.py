@@ -3,6 +3,8 @@ import json
 import os
 from datetime import date
 
+from datetime import datetime
+
 import fixtures as fx
 import pytest
 from pyspark.sql import functions as F
@@ -92,9 +94,12 @@ def test_seed_events(spark, tmp_path):
     path = str(tmp_path / "seed.csv")
     with open(path, "w") as f:
         f.write(",".join(p.split()[0] for p in schemas.SEED_EVENT.split(", ")) + "\n")
-        f.write("e1,order_placed,o,2026-06-01T10:00:00.000Z,c,v,,1500,1000,200,50,0,,\n")
+        f.write("17,order_cancelled,w9,2025-03-02T23:59:30.250Z,li,tea,bike,,,,,,system,payment_failed\n")
+        f.write("18,order_placed,w8,,li,tea,,77,60,9,8,0,,\n")
     seed = dimensions.read_seed_events(spark, path)
-    assert fx.rows(seed, "occurred_at", "gmv", "driver_id") == [(fx.at(1, "10:00"), 1500, None)]
+    assert fx.rows(seed, "event_id", "occurred_at", "gmv", "driver_id", "cancel_reason") == [
+        ("17", datetime(2025, 3, 2, 23, 59, 30, 250_000), None, "bike", "payment_failed"), ("18", None, 77, None, None)
+    ]
 
 
 def test_layers_and_catalog(spark):
