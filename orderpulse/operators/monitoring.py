@@ -107,7 +107,8 @@ def missing_hours(
 ) -> DataFrame:
     """Hours without a row, up to the hour before `now` (default: up to the newest row).
 
-    Looks at everything since the oldest row, or with a cap only at the last `cap_hours` of it. The hours expected are generated, so they are bounded by the calendar.
+    Looks at everything since the oldest row, or with a cap only at the last `cap_hours` of it. Expected hours are generated
+    month by month, so one stray time of long ago makes many rows but no large one.
     """
     hour = F.date_trunc("HOUR", time)
     known = rows.filter(F.col(time).isNotNull())
@@ -122,8 +123,11 @@ def missing_hours(
     first = F.col("oldest")
     if cap_hours is not None:
         first = F.greatest(first, last - F.make_interval(hours=F.lit(cap_hours - 1)))
-    span = F.sequence(first, last, F.make_interval(hours=F.lit(1)))
-    expected = ends.filter(first <= last).select(F.explode(span).alias("hr"))
+    months = F.sequence(F.date_trunc("MONTH", first), F.date_trunc("MONTH", last), F.make_interval(months=F.lit(1)))
+    each = ends.filter(first <= last).select(first.alias("_first"), last.alias("_last"), F.explode(months).alias("_month"))
+    one = F.make_interval(hours=F.lit(1))
+    end = F.least(F.col("_last"), F.col("_month") + F.make_interval(months=F.lit(1)) - one)
+    expected = each.select(F.explode(F.sequence(F.greatest("_first", "_month"), end, one)).alias("hr"))
     return expected.join(known.select(hour.alias("hr")).distinct(), "hr", "left_anti")
 
 

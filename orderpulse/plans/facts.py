@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderpulse.operators import cleaning, facts, mart, serving
+from orderpulse.operators import cleaning, distinct, facts, mart, serving
 from orderpulse.plans import duck
 from orderpulse.session import work_folder
 from orderpulse.sources import events as event_files
@@ -61,7 +61,37 @@ def dim_passthrough(spark, sf_dir) -> DataFrame:
     )
 
 
+def _bitmaps(spark, sf_dir, column: str) -> DataFrame:
+    """Stored bitmaps of the orders' days; the values are numbered in two steps, as a table that grows by days is."""
+    rows = orders(spark, sf_dir).filter("placed_at IS NOT NULL").select("placed_at", column)
+    early = distinct.numbered(rows.filter(F.col("placed_at") < F.to_timestamp(F.lit(str(START)))), column)
+    base = work_folder(spark, f"distinct-{column}")
+    early.write.parquet(f"{base}/early")
+    distinct.numbered(rows, column, spark.read.parquet(f"{base}/early")).write.parquet(f"{base}/numbers")
+    numbers = spark.read.parquet(f"{base}/numbers")
+    distinct.daily_bitmaps(rows, F.to_date("placed_at"), column, numbers).write.parquet(f"{base}/days")
+    return spark.read.parquet(f"{base}/days")
+
+
+def distinct_per_week(spark, sf_dir) -> DataFrame:
+    """Weekly distinct customers and vendors, from stored days only."""
+    week = F.to_date(F.date_trunc("WEEK", "day")).alias("week")
+    found = [
+        distinct.distinct_over(_bitmaps(spark, sf_dir, key), week).withColumn("key", F.lit(key)) for key in ("customer_id", "vendor_id")
+    ]
+    return found[0].union(found[1])
+
+
+def distinct_in_range(spark, sf_dir) -> DataFrame:
+    """Distinct customers of a range of days, and of each day in it."""
+    days = _bitmaps(spark, sf_dir, "customer_id").filter(F.col("day").between(START, END))
+    whole = distinct.distinct_over(days).select(F.lit(None).cast("date").alias("day"), "values")
+    return distinct.distinct_over(days, F.col("day")).union(whole)
+
+
 QUERIES = {
+    "distinct_per_week": distinct_per_week,
+    "distinct_in_range": distinct_in_range,
     "order_lifecycle": orders,
     "daily_metrics": daily,
     "order_event_log": lambda s, d: facts.order_event_log(testdata.silver_events(s, d)),
@@ -96,6 +126,14 @@ _ENDS = f"""SELECT min(order_date) AS lo,
   FROM mart"""
 
 ORACLES = {
+    "distinct_per_week": duck.with_tables(duck.ORDERS)
+    + """SELECT CAST(date_trunc('week', placed_at) AS DATE) AS week, key, count(DISTINCT value) AS values
+         FROM (SELECT placed_at, unnest(['customer_id', 'vendor_id']) AS key, unnest([customer_id, vendor_id]) AS value
+               FROM fct_orders WHERE placed_at IS NOT NULL) WHERE value IS NOT NULL GROUP BY ALL""",
+    "distinct_in_range": duck.with_tables(duck.ORDERS)
+    + """SELECT CAST(placed_at AS DATE) AS day, count(DISTINCT customer_id) AS values FROM fct_orders
+         WHERE CAST(placed_at AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'
+         GROUP BY GROUPING SETS ((CAST(placed_at AS DATE)), ())""",
     "order_lifecycle": duck.with_tables(duck.ORDERS) + "SELECT * FROM fct_orders",
     "daily_metrics": duck.with_tables(duck.MART) + "SELECT * FROM mart",
     "order_event_log": duck.with_tables(duck.EVENTS) + f"SELECT {_LOG} FROM silver",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from orderpulse import vocabulary as v
 from orderpulse.operators import checks, contracts, facts
@@ -85,6 +86,9 @@ QUERIES = {
     "illegal_transitions": lambda s, d: checks.illegal_transitions(testdata.silver_events(s, d)),
     "amount_identity": amount_identity,
     "conflicting_duplicates": lambda s, d: checks.conflicting_duplicates(testdata.line_events(s, d)),
+    "conflicting_orders": lambda s, d: checks.conflicting_duplicates(
+        testdata.line_events(s, d).withColumn("event_id", F.concat_ws("/", "customer_id", "vendor_id"))
+    ),
     "null_key_profile": lambda s, d: checks.null_key_profile(_log(s, d)),
 }
 
@@ -123,10 +127,15 @@ ORACLES = {
     "orphan_keys": duck.with_tables(duck.ORDERS, duck.DIMENSIONS)
     + f"SELECT vendor_id, count(*) AS rows FROM fct_orders WHERE {_ORPHAN} GROUP BY 1",
     "known_issues": duck.with_tables(duck.ORDERS, duck.DIMENSIONS)
-    + f"""SELECT *, negative_gmv + unknown_event_types + orphan_vendors AS total_issues FROM (
-            SELECT (SELECT count(*) FROM fct_orders WHERE gmv < 0) AS negative_gmv,
-              (SELECT count(*) FROM silver WHERE {_UNKNOWN}) AS unknown_event_types,
-              (SELECT count(*) FROM fct_orders WHERE {_ORPHAN}) AS orphan_vendors)""",
+    + """, per_order AS (
+            SELECT count(*) FILTER (WHERE o.gmv < 0) AS below,
+              count(*) FILTER (WHERE o.vendor_id IS NOT NULL AND d.vendor_id IS NULL) AS unlisted
+            FROM fct_orders o LEFT JOIN dim_vendor d ON o.vendor_id = d.vendor_id),
+          per_event AS (
+            SELECT count(*) FILTER (WHERE event_type NOT IN ('order_placed', 'order_confirmed', 'order_prepared',
+              'order_picked_up', 'order_delivered', 'order_cancelled')) AS strange FROM silver)
+          SELECT below AS negative_gmv, strange AS unknown_event_types, unlisted AS orphan_vendors,
+            below + strange + unlisted AS total_issues FROM per_order, per_event""",
     "dq_unique": duck.with_tables(duck.LINE_EVENTS)
     + "SELECT event_id, count(*) AS copies FROM line_events GROUP BY 1 HAVING count(*) > 1",
     "dq_not_null": duck.with_tables(duck.EVENTS)
@@ -184,6 +193,13 @@ ORACLES = {
            arg_max(order_id, order_id || event_type) AS last_order_id,
            max(event_type) AS last_event_type
          FROM line_events GROUP BY 1 HAVING count(DISTINCT (order_id, event_type)) > 1""",
+    "conflicting_orders": duck.with_tables(duck.LINE_EVENTS)
+    + """SELECT id AS event_id, copies, low.o AS first_order_id, low.e AS first_event_type,
+           high.o AS last_order_id, high.e AS last_event_type
+         FROM (SELECT customer_id || '/' || vendor_id AS id, count(*) AS copies,
+             min({'o': order_id, 'e': event_type}) AS low, max({'o': order_id, 'e': event_type}) AS high
+           FROM line_events GROUP BY 1)
+         WHERE low <> high""",
     "null_key_profile": duck.with_tables(duck.EVENTS)
     + """SELECT event_type, count(*) AS events,
            count(*) FILTER (WHERE customer_id IS NULL) AS no_customer,

@@ -11,10 +11,11 @@ from orderpulse.sources import testdata
 
 TODAY = date(2024, 1, 31)
 VENDOR_START, VENDOR_END = date(1997, 1, 1), date(1999, 12, 31)
+EVENT_START, EVENT_END = date(2024, 1, 10), date(2024, 1, 19)  # a part of the days that the events cover
 
 
 def in_range(spark, sf_dir):
-    return serving.placed_between(orders(spark, sf_dir), VENDOR_START, VENDOR_END)
+    return serving.placed_between(orders(spark, sf_dir), EVENT_START, EVENT_END)
 
 
 def top_vendors(spark, sf_dir):
@@ -52,6 +53,7 @@ def _volume(hours: int) -> str:
 
 
 _RANGE = f"placed_at >= TIMESTAMP '{VENDOR_START}' AND placed_at < TIMESTAMP '{VENDOR_END}' + INTERVAL 1 DAY"
+_EVENT_RANGE = "CAST(placed_at AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-19'"
 _HEATMAP = """SELECT CAST(dayofweek(placed_at) + 1 AS INTEGER) AS dow,
     CAST(hour(placed_at) AS INTEGER) AS hour_of_day, count(*) AS orders
   FROM fct_orders WHERE placed_at IS NOT NULL GROUP BY 1, 2"""
@@ -91,6 +93,6 @@ ORACLES = {
           FROM dim_vendor JOIN sales USING (vendor_id) GROUP BY ALL
           ORDER BY gmv DESC NULLS LAST, vendor_name, cuisine_type LIMIT 10""",
     "cancellation_reasons": duck.with_tables(duck.ORDERS) + _REASONS.format("placed_at IS NOT NULL"),
-    "cancellation_reasons_range": duck.with_tables(duck.ORDERS) + _REASONS.format(_RANGE),
-    "hour_heatmap_range": duck.with_tables(duck.ORDERS) + _HEATMAP.replace("placed_at IS NOT NULL", _RANGE),
+    "cancellation_reasons_range": duck.with_tables(duck.ORDERS) + _REASONS.format(_EVENT_RANGE),
+    "hour_heatmap_range": duck.with_tables(duck.ORDERS) + _HEATMAP.replace("placed_at IS NOT NULL", _EVENT_RANGE),
 }

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from orderpulse import schemas
 from orderpulse.functions.clock import as_time
+from orderpulse.operators import facts
 from orderpulse.plans import duck
 from orderpulse.session import work_folder
 from orderpulse.sources import landing, testdata
@@ -102,6 +103,14 @@ def stream_silver(spark, sf_dir) -> DataFrame:
     return run.read(run.silver).drop("items")
 
 
+def stream_silver_items(spark, sf_dir) -> DataFrame:
+    """Baskets that came through both streams, one row per item."""
+    run = Delivery(spark)
+    run.land(testdata.bronze_events(spark, sf_dir))
+    run.clean()
+    return facts.order_items(run.read(run.silver))
+
+
 def stream_replay(spark, sf_dir) -> DataFrame:
     """The first delivery comes again after the second; it must add nothing."""
     run = Delivery(spark)
@@ -151,6 +160,7 @@ QUERIES = {
     "landing_drift": landing_drift,
     "stream_bronze_ingest": stream_bronze_ingest,
     "stream_silver": stream_silver,
+    "stream_silver_items": stream_silver_items,
     "stream_replay": stream_replay,
     "stream_merge": stream_merge,
     "stream_merge_ledger": stream_merge_ledger,
@@ -214,6 +224,12 @@ ORACLES = {
            strftime(occurred_at, '%Y-%m-%dT%H:%M:%S.%fZ') AS occurred_at,
            customer_id, vendor_id, driver_id, gmv, cancel_reason FROM silver""",
     "stream_silver": _SILVER,
+    "stream_silver_items": duck.with_tables(duck.EVENTS)
+    + """SELECT concat_ws('-', CAST(user_id AS VARCHAR), CAST(CAST(ts AS DATE) AS VARCHAR)) AS order_id,
+      CAST(user_id AS VARCHAR) AS customer_id,
+      CASE WHEN k = 77 THEN 'vendor-unlisted' ELSE CAST(user_id % 10 AS VARCHAR) END AS vendor_id, ts AS occurred_at,
+      'm' || (k + i) AS menu_item_id, 'dish ' || i AS item_name, i AS quantity, cents AS unit_price, cents * i AS line_total
+    FROM (SELECT *, unnest(range(1, k % 3 + 2)) AS i FROM kinds WHERE kind = 'order_placed')""",
     "stream_replay": _SILVER,
     "stream_merge": _SILVER,
     "stream_merge_ledger": duck.with_tables(duck.EVENTS)

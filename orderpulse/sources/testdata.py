@@ -91,7 +91,9 @@ EVENT_COLUMNS = {
         array('changed_mind', 'too_busy', 'payment_failed'), k % 3 + 1), NULL)""",
     "vehicle_type": """if(kind = 'order_picked_up', element_at(
         array('cargo bike', 'scooter', 'van'), k % 3 + 1), NULL)""",
-    "items": f"CAST(NULL AS array<{schemas.ITEM}>)",
+    "items": f"""CAST(if(kind = 'order_placed', transform(sequence(1, k % 3 + 1), i -> named_struct(
+        'menu_item_id', concat('m', k + i), 'name', concat('dish ', i), 'quantity', i, 'unit_price', cents,
+        'line_total', cents * i)), NULL) AS array<{schemas.ITEM}>)""",
 }
 
 
