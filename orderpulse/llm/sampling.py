@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame
 from orderpulse.llm.common import id_and_text, mix64, pieces, record_batch, text_bytes
 
 SHARPNESS = 1.0
-KEPT_EDGES = 5_000_000
+KEPT_EDGES = 3_000_000
+PIECE = 1 << 20  # bytes of text that are sampled at a time: lattices of new words take many times their size
 _WORD = re.compile(rb" *[^ ]+| +")
 _STEP, _PLACE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -158,6 +159,16 @@ class Lattice:
         return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def appended(held: np.ndarray, n: int, new: np.ndarray) -> np.ndarray:
+    """`held`, of which n values are in use, with the new ones after them; it grows by a quarter when it is full."""
+    if n + len(new) > len(held):
+        larger = np.empty(n + len(new) + len(held) // 4, held.dtype)
+        larger[:n] = held[:n]
+        held = larger
+    held[n : n + len(new)] = new
+    return held
+
+
 class Sampler:
     """Draws segmentations; the lattices of words met before are kept, up to a number of edges."""
 
@@ -167,20 +178,22 @@ class Sampler:
 
     def forget(self) -> None:
         self.last: dict[bytes, int] = {}  # a word's end node
-        self.nodes = 0
-        self.until, self.piece, self.source = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.nodes = self.edges = 0
+        self.held = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.until, self.piece, self.source = self.held
 
     def learn(self, words: list[bytes]) -> None:
         new = Lattice(self.vocabulary, words)
-        self.until = np.concatenate([self.until, new.until + (self.nodes << _ONE)])
-        self.piece = np.concatenate([self.piece, new.piece])
-        self.source = np.concatenate([self.source, np.where(new.source < 0, -1, new.source + self.nodes)])
+        found = new.until + (self.nodes << _ONE), new.piece, np.where(new.source < 0, -1, new.source + self.nodes)
+        self.held = tuple(appended(x, self.edges, y) for x, y in zip(self.held, found))
+        self.edges += len(new.until)
+        self.until, self.piece, self.source = (x[: self.edges] for x in self.held)
         self.last.update(zip(words, (new.last + self.nodes).tolist()))
         self.nodes += sum(map(len, words))
 
     def sample(self, texts: list[bytes], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each has."""
-        if len(self.until) > self.kept_edges:
+        if self.edges > self.kept_edges:
             self.forget()
         words = [_WORD.findall(b" " + t) if t else [] for t in texts]
         if new := list(set().union(*words) - self.last.keys()):
@@ -231,7 +244,7 @@ def sample_pieces(docs: DataFrame, path: str, seed: int = 42, sharpness: float =
         known = sampler(path, sharpness)
         spelled = known.vocabulary.bytes
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, size=PIECE):
                 texts = text_bytes(part["text"])
                 ids, counts = known.sample(texts, row_keys(part["doc_id"], seed))
                 offsets = np.r_[0, np.cumsum(counts)]
