@@ -1,8 +1,10 @@
 """Token-ID output: texts as Huffman-coded ids in files, and back.
 
 write_ids() tokenizes every whole text, counts all ids, and writes a folder with two Parquet tables: `codebook` (symbol,
-length of its canonical code) and `documents`, one folder part=NNNNN per range of doc_id, each sorted by doc_id, with
-each document's ids as a payload of codes and its checkpoints (see huffman.py). Any document, and any block of 64 ids
+length of its canonical code) and `documents`, one folder part=N per range of rows, in ascending order, each sorted by
+doc_id, with each document's ids as a payload of codes and its checkpoints (see huffman.py). Ranges are found by Spark
+from a sample of the rows and may cut through the rows of one doc_id, so that neither a hot id nor rows without an id
+fill one file. Any document, and any block of 64 ids
 in it, can be decoded by itself. read_ids() decodes them and tells each document's place in the whole sequence.
 
 Null texts are empty; each document ends with the end id. Null doc_ids come first, documents with the same doc_id
@@ -19,6 +21,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,13 +89,31 @@ class Encoder:
             self.parts.clear()
             self.marks.clear()
         # The first word follows no space; a text with other white space next to a space is encoded as a whole.
-        cut = [[t] if any(u in t for u in _UNEVEN) or _RARE_SPACE.search(t) else t.split(" ") for t in texts]
-        first = self._ids([c[0] for c in cut])
-        for c in cut:
-            del c[0]
-        self._learn(list(set().union(*cut) - self.words.keys()))
+        even = [not any(u in t for u in _UNEVEN) and not _RARE_SPACE.search(t) for t in texts]
+        cut = pa.compute.split_pattern(pa.array([t if e else "" for t, e in zip(texts, even)], pa.large_string()), " ")
+        words, ends = cut.values.dictionary_encode(), cut.offsets.to_numpy()
+        firsts = cut.values.take(pa.array(ends[:-1])).to_pylist()
+        first = self._ids([f if e else t for f, t, e in zip(firsts, texts, even)])
+        codes = words.indices.to_numpy().astype(np.int64)
+        own = np.ones(len(codes), bool)
+        own[ends[:-1]] = False
+        used, codes = np.unique(codes[own], return_inverse=True)
+        names = words.dictionary.take(pa.array(used)).to_pylist()
+        self._learn([w for w in names if w not in self.words])
         known, end = self.words.__getitem__, np.array([END_ID], self.kind).tobytes()
-        return [b"".join([a, *map(known, c), end]) for a, c in zip(first, cut)]
+        # A row of entries for each text: its first word, the others, and the end id. Arrow puts their bytes side by side.
+        entries = pa.array([*map(known, names), *first, end], pa.large_binary())
+        starts = np.arange(len(texts)) + ends[:-1]
+        row = np.empty(len(own) + len(texts), np.int64)
+        place = np.zeros(len(row), bool)
+        place[starts] = place[ends[1:] + np.arange(len(texts))] = True
+        row[~place] = codes
+        row[starts] = len(names) + np.arange(len(texts))
+        row[ends[1:] + np.arange(len(texts))] = len(names) + len(texts)
+        found = entries.take(pa.array(row))
+        data, at = found.buffers()[2], np.frombuffer(found.buffers()[1], np.int64)[: len(row) + 1]
+        data = memoryview(data) if data else b""
+        return [bytes(data[x:y]) for x, y in zip(at[starts].tolist(), at[np.r_[starts[1:], len(row)]].tolist())]
 
 
 @lru_cache(2)
@@ -151,17 +173,15 @@ def encoded(rows: DataFrame, lengths: np.ndarray, path: str) -> DataFrame:
 
 
 def _numbered(rows: DataFrame) -> DataFrame:
-    """Sorted rows with the number of ids before them in their part."""
+    """Sorted rows with the number of their task, which names their file, and the number of ids before them in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, before = None, 0
+        part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            starts = []
-            for part, n in zip(batch["part"].to_pylist(), batch["n_tokens"].to_pylist()):
-                before = before if part == last else 0
-                last = part
-                starts.append(before)
-                before += n
+            counts = batch["n_tokens"].to_numpy()
+            starts = before + np.cumsum(counts) - counts
+            before += int(counts.sum())
+            batch = batch.append_column("part", pa.array(np.full(len(counts), part), pa.int32()))
             yield batch.append_column("before", pa.array(starts, pa.int64()))
 
     ddl = "doc_id long, n_tokens long, payload binary, checkpoints binary, part int, before long"
@@ -177,12 +197,8 @@ def write_ids(docs: DataFrame, folder: str, path: str, tokens_per_file: int = TO
     book = [(int(s), int(lengths[s])) for s in np.flatnonzero(lengths)]
     spark.createDataFrame(book, "symbol long, length int").coalesce(1).write.parquet(f"{folder}/codebook")
     parts = -(-sum(r["n"] for r in counts) // tokens_per_file)
-    shares = [i / parts for i in range(1, parts)]
-    cuts = rows.agg(F.percentile_approx("doc_id", shares, 100 * parts)).first()[0] if shares else None
-    part = sum(((F.col("doc_id") > cut).cast("int") for cut in sorted(set(cuts or []))), F.lit(0))
-    part = F.coalesce(part, F.lit(-1)) + 1
-    out = encoded(rows, lengths, path).withColumn("part", part.cast("int"))
-    out = out.repartition(max(1, parts), "part").sortWithinPartitions("part", "doc_id", "n_tokens", "payload")
+    order = ["doc_id", "n_tokens", F.xxhash64("payload"), "payload"]
+    out = encoded(rows, lengths, path).repartitionByRange(max(1, parts), *order[:3]).sortWithinPartitions(*order)
     _numbered(out).write.partitionBy("part").option("compression", "zstd").parquet(f"{folder}/documents")
 
 

@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from llm_data import SF, docs_frame
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from orderpulse.llm import huffman, token_ids
@@ -98,3 +99,18 @@ def test_empty_table_and_null_ids(spark, tmp_path):
     token_ids.write_ids(docs, str(tmp_path / "some"), PATH)
     got = sorted((r.start, r.doc_id, r.n_tokens) for r in token_ids.read_ids(spark, str(tmp_path / "some")).collect())
     assert got == [(0, None, 2), (2, 5, 2), (4, 5, 2), (6, 5, 4)]
+
+
+def test_more_files_than_an_expression_could_name(spark, tmp_path):
+    """Hundreds of files, of which rows without an id and rows of one id fill several."""
+    ids = [None] * 120 + [7] * 120 + list(range(100, 260))
+    texts = [f"row {i} of many" + " x" * (i % 5) for i in range(400)]
+    docs = docs_frame(spark, texts, ids=ids)
+    total = sum(len(Tokenizer.from_file(PATH).encode(t, add_special_tokens=False).ids) + 1 for t in texts)
+    token_ids.write_ids(docs, str(tmp_path / "f"), PATH, tokens_per_file=total // 400)
+    files = spark.read.parquet(str(tmp_path / "f/documents"))
+    parts = {r.doc_id: r.parts for r in files.groupBy("doc_id").agg(F.count_distinct("part").alias("parts")).collect()}
+    assert parts[None] > 10 and parts[7] > 10 and files.select("part").distinct().count() > 100
+    back = token_ids.read_ids(spark, str(tmp_path / "f"), with_ids=False).orderBy("start").collect()
+    assert [r.start for r in back] == np.r_[0, np.cumsum([r.n_tokens for r in back])[:-1]].tolist()
+    assert [r.doc_id for r in back] == ids and sum(r.n_tokens for r in back) == total
