@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from orderpulse.operators import serving
+from pyspark.sql import functions as F
+
+from orderpulse.operators import facts, rollup, serving
 from orderpulse.plans import duck
 from orderpulse.plans.facts import orders
+from orderpulse.session import work_folder
 from orderpulse.sources import testdata
 
 TODAY = date(2024, 1, 31)
@@ -23,7 +26,21 @@ def top_vendors(spark, sf_dir):
     return serving.top_vendors(placed, testdata.vendors(spark, sf_dir))
 
 
+def hourly_rollup(spark, sf_dir):
+    """Stored hourly figures, built over the first half of the events and refreshed for the dates that the second changed."""
+    base, events = work_folder(spark, "rollup"), testdata.silver_events(spark, sf_dir)
+    fact, rolled = f"{base}/orders", f"{base}/hours"
+    rollup.store_orders(facts.order_lifecycle(events.filter("occurred_at < '2024-01-15 12:00:00'")), fact)
+    rollup.refresh(spark, fact, rolled)
+    every = facts.order_lifecycle(events)
+    dates = rollup.changed_dates(every, events.filter("occurred_at >= '2024-01-15 12:00:00'"))
+    rollup.store_orders(every.filter(F.to_date("placed_at").isin(dates)), fact)
+    rollup.refresh(spark, fact, rolled, dates)
+    return spark.read.parquet(rolled)
+
+
 QUERIES = {
+    "hourly_rollup": hourly_rollup,
     "hourly_volume": lambda s, d: serving.hourly_volume(orders(s, d)),
     "volume_vs_baseline": lambda s, d: serving.volume_vs_baseline(orders(s, d)),
     "volume_vs_baseline_14d": lambda s, d: serving.volume_vs_baseline(orders(s, d), "14d"),
@@ -73,6 +90,12 @@ _REASONS = """SELECT cancelled_by, cancel_reason, count(*) AS cnt, any_value(who
   GROUP BY cancelled_by, cancel_reason"""
 
 ORACLES = {
+    "hourly_rollup": duck.with_tables(duck.ORDERS)
+    + """SELECT CAST(placed_at AS DATE) AS order_date, date_trunc('hour', placed_at) AS hr, count(*) AS orders,
+           count(*) FILTER (WHERE delivered_at IS NOT NULL) AS delivered,
+           count(*) FILTER (WHERE delivered_at IS NULL AND cancelled_at IS NOT NULL) AS cancelled,
+           CAST(coalesce(sum(gmv) FILTER (WHERE delivered_at IS NOT NULL), 0) AS BIGINT) AS gmv
+         FROM fct_orders WHERE placed_at IS NOT NULL GROUP BY ALL""",
     "hourly_volume": duck.with_tables(duck.ORDERS)
     + """SELECT date_trunc('hour', placed_at) AS hr, count(*) AS orders
          FROM fct_orders WHERE placed_at IS NOT NULL GROUP BY 1""",
