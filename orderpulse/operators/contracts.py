@@ -1,8 +1,8 @@
 """Declarative data-quality contracts.
 
 A contract is a query for failing rows; none means it passes. `dq_report` runs a set of
-contracts with as few scans as possible: all row-level ones of a table in one aggregate,
-all foreign keys of a table in one join.
+contracts with one scan of each table: unique, accepted-values, foreign-key and row-level
+ones of a table share one counted explode.
 """
 
 from __future__ import annotations
@@ -176,23 +176,11 @@ def severity_for(target: str) -> str:
 
 
 def dq_report(tables: dict[str, DataFrame], contracts: list, severity: str) -> DataFrame:
-    """contract, table_name, column_name, failures, severity, status — one row per contract."""
-    parts = []
-    for name in dict.fromkeys(rule.table for rule in contracts):
-        own = [rule for rule in contracts if rule.table == name]
-        rules = [rule for rule in own if isinstance(rule, RowRule)]
-        links = [rule for rule in own if isinstance(rule, Relationship)]
-        if rules:
-            parts.append(_row_rule_counts(tables[name], rules))
-        if links:
-            parts.append(_link_counts(tables, name, links))
-        for rule in own:
-            if isinstance(rule, Unique):
-                bad = unique_failures(tables[name], rule.column)
-                parts.append(_count_as(bad, rule))
-            elif isinstance(rule, AcceptedValues):
-                bad = accepted_values_failures(tables[name], rule.column, rule.values)
-                parts.append(_count_as(bad, rule))
+    """contract, table_name, column_name, failures, severity, status — one row per contract.
+
+    Each table is read once for all of its contracts."""
+    names = dict.fromkeys(rule.table for rule in contracts)
+    parts = [_counts(tables, name, [rule for rule in contracts if rule.table == name]) for name in names]
     failed = F.col("failures") > 0
     status = F.when(~failed, "pass").otherwise("fail" if severity == "error" else "warn")
     return reduce(DataFrame.unionByName, parts).withColumns(
@@ -209,29 +197,45 @@ def _line(rule, failures: Column) -> Column:
     )
 
 
-def _count_as(failing: DataFrame, rule) -> DataFrame:
-    return failing.agg(F.count(F.lit(1)).alias("n")).select(_line(rule, F.col("n")).alias("r")).select("r.*")
-
-
-def _row_rule_counts(rows: DataFrame, rules: list[RowRule]) -> DataFrame:
-    counts = rows.agg(*[F.count_if(rule.failing).alias(f"n{i}") for i, rule in enumerate(rules)])
-    lines = F.array(*[_line(rule, F.col(f"n{i}")) for i, rule in enumerate(rules)])
-    return counts.select(F.explode(lines).alias("r")).select("r.*")
-
-
-def _link_counts(tables: dict[str, DataFrame], name: str, links: list[Relationship]) -> DataFrame:
-    keys = {rule.column: (tables[rule.parent], rule.parent_column) for rule in links}
-    orphans = relationship_failures(tables[name], keys)
-    counts = orphans.agg(
-        *[
-            F.coalesce(F.sum(F.when(F.col("key_name") == rule.column, F.col("rows"))), F.lit(0)).alias(
-                f"n{i}"
-            )
-            for i, rule in enumerate(links)
-        ]
-    )
-    lines = F.array(*[_line(rule, F.col(f"n{i}")) for i, rule in enumerate(links)])
-    return counts.select(F.explode(lines).alias("r")).select("r.*")
+def _entry(rule) -> tuple[Column, Column]:
+    """Which rows a contract looks at, and the value that it looks at."""
+    if isinstance(rule, RowRule):
+        return rule.failing, F.lit(None).cast("string")
+    value = F.col(rule.column)
+    wanted = ~value.isin(*rule.values) if isinstance(rule, AcceptedValues) else value.isNotNull()
+    return wanted, value.cast("string")
+
+
+def _failures(tag: int, rule) -> Column:
+    """Failures of a contract from the counted (tag, value): repeated, unlisted or unknown values, or failing rows."""
+    own = F.col("tag") == tag
+    if isinstance(rule, Unique):
+        return F.count_if(own & (F.col("copies") > 1))
+    if isinstance(rule, AcceptedValues):
+        return F.count_if(own)
+    failing = own & F.col("known").isNull() if isinstance(rule, Relationship) else own
+    return F.coalesce(F.sum(F.when(failing, F.col("copies"))), F.lit(0))
+
+
+def _counts(tables: dict[str, DataFrame], name: str, rules: list) -> DataFrame:
+    """Every row becomes (tag, value) for each contract that looks at it; these are counted before and after one shuffle."""
+    entries = []
+    for tag, rule in enumerate(rules):
+        wanted, value = _entry(rule)
+        entries.append(F.when(wanted, F.struct(F.lit(tag).alias("tag"), value.alias("value"))))
+    tagged = tables[name].select(F.inline(F.filter(F.array(*entries), lambda entry: entry.isNotNull())))
+    counted = tagged.groupBy("tag", "value").agg(F.count(F.lit(1)).alias("copies"))
+    parents = [
+        tables[rule.parent].select(F.lit(tag).alias("tag"), F.col(rule.parent_column).cast("string").alias("value")).distinct()
+        for tag, rule in enumerate(rules)
+        if isinstance(rule, Relationship)
+    ]
+    if parents:
+        known = reduce(DataFrame.union, parents).withColumn("known", F.lit(True))
+        counted = counted.join(known, ["tag", "value"], "left")
+    sums = counted.agg(*[_failures(tag, rule).alias(f"n{tag}") for tag, rule in enumerate(rules)])
+    lines = F.array(*[_line(rule, F.col(f"n{tag}")) for tag, rule in enumerate(rules)])
+    return sums.select(F.inline(lines))
 
 
 class ContractViolation(Exception):

@@ -50,6 +50,23 @@ def test_all_defects_at_once_only_warn_in_production(spark):
     assert {k for k, x in got.items() if x == (1, "warn")} == set(FAILS.values()) and len(got) == 8
 
 
+def test_each_table_is_read_once(spark, tmp_path):
+    stored = {}
+    for name, rows in tables(spark, fx.BAD).items():
+        rows.write.parquet(f"{tmp_path}/{name}")
+        stored[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    report = contracts.dq_report(stored, contracts.standard_contracts(), "warn")
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == len(stored) == 6
+    assert {(r.contract, r.column_name) for r in report.collect() if r.failures} == set(FAILS.values())
+
+
+def test_no_rows_pass(spark):
+    none = {name: rows.limit(0) for name, rows in tables(spark, fx.BAD).items()}
+    report = contracts.dq_report(none, contracts.standard_contracts(), "error").collect()
+    assert len(report) == 8 and {(r.failures, r.status) for r in report} == {(0, "pass")}
+
+
 def test_failing_rows(spark):
     t = tables(spark, fx.BAD)
     orders, log = t["fct_orders"], t["fct_order_events"]
