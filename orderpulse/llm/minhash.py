@@ -347,3 +347,20 @@ def keep_one(docs: DataFrame, words: int = WORDS, percent: int = 80, bands: int
     )
     names = ["kept_id", "no_id", "kept_key"]
     return rows_of.join(kept, names).dropDuplicates(names).select("row.*")
+
+
+ORACLE = """
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+sets AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) <= 5 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingle FROM texts),
+sizes AS (SELECT t.doc_id, count(shingle) AS n FROM texts t LEFT JOIN sets USING (doc_id) GROUP BY ALL),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM sets x JOIN sets y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+    GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * shared.n >= 85 * (x.n + y.n - shared.n)),
+reached AS (SELECT doc_id, doc_id AS other FROM texts UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other),
+found AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY ALL)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM sizes JOIN found USING (doc_id)
+"""

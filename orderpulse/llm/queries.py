@@ -93,5 +93,6 @@ QUERIES = {
 ORACLES = {
     "op6_quality_rules": rules.ORACLE,
     "op11_source_divergence": divergence.ORACLE,
+    "op12_minhash_near_dedup": minhash.ORACLE,
     "op13_merkle_manifest": merkle.oracle(),
 }
