@@ -15,7 +15,7 @@ from orderpulse.sources.dimensions import read_dimension
 from orderpulse.sources.landing import FILES_PER_BATCH, stream_landing
 from orderpulse.sources.tables import Layers, clustered, over_folder, refresh, table_folder
 from orderpulse.streaming.flows import append, run_available
-from orderpulse.streaming.merge import merge_stream
+from orderpulse.streaming.merge import merge_stream, read_ledger
 
 # Landed dimension -> gold table.
 GOLD_DIMENSIONS = {
@@ -44,12 +44,15 @@ def land_dimensions(spark: SparkSession, layers: Layers, folder: str) -> None:
 def clean_events(
     spark: SparkSession, layers: Layers, checkpoint: str, files_per_batch: int | None = FILES_PER_BATCH
 ) -> list:
-    """Insert what is new in bronze, cleaned, into the silver event table, which lies in folders by event date."""
+    """Insert what is new in bronze, cleaned, into the silver event table, which lies in folders by event date.
+
+    The table is there as soon as a row was written."""
     name = layers.name("silver", "order_events")
     folder = table_folder(spark, name)
     bronze = layers.stream(spark, "bronze", "order_events", files_per_batch)
     progress = run_available(merge_stream(bronze, folder, checkpoint))
-    over_folder(spark, name, folder)
+    if not read_ledger(spark, folder).filter("written > 0").isEmpty():
+        over_folder(spark, name, folder)
     return progress
 
 
