@@ -9,7 +9,10 @@ or was already reached from the same place, is not opened again, so cyclic encod
 layer are mapped back, layer by layer, to the characters of the original text.
 
 Null texts are empty. Every input row gives one output row, repeated rows and null ids included.
-A compressed layer that would grow over `max_layer_bytes` is not opened but counted in n_unopened.
+Compressed content of more than `window` bytes becomes several layers: windows of that size, each half over the one before.
+All of them have the same place in the text, so finds in them give the same spans as finds in the whole. Memory stays
+bounded: layers are opened depth first, and content is inflated a block at a time. Only a stream in a stream can be cut by a
+window; those of up to half a window are whole in the next one, and n_cut counts all that were cut anywhere.
 """
 
 from __future__ import annotations
@@ -21,8 +24,8 @@ import lzma
 import re
 import zlib
 from bisect import bisect_right
-from collections import deque
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import zstandard
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame
 from orderpulse.llm.common import id_and_text, record_batch
 
 KINDS = ("assign", "access", "hex")
-MAX_LAYER_BYTES = 64 << 20
+WINDOW = 16 << 20
 
 _ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
@@ -45,7 +48,11 @@ _ESCAPE = re.compile(
     r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})"
     r"|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});"
 )
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:(?:[A-Za-z0-9+/]{76}|[A-Za-z0-9+/]{64})\r?\n)*[A-Za-z0-9+/_-]{16,}")
+# Unbroken, or wrapped at any width and indented by any space.
+_BASE64 = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{4,}+(?:(?:[\x20\t]*+\r?\n[\x20\t]*+[A-Za-z0-9+/_-]++)++|(?<=[A-Za-z0-9+/_-]{16}))"
+)
+_LINE = re.compile(r"[^\x20\t\r\n]+")
 _PLUS = re.compile(r"(?:%[0-9A-Fa-f]{2}|\+)+")
 _SIMPLE = {"a": 7, "b": 8, "t": 9, "n": 10, "v": 11, "f": 12, "r": 13, "0": 0} | {c: ord(c) for c in "\\'\"/"}
 _ANY_ESCAPE = re.compile(_ESCAPE.pattern + r"|\\([abtnvfr0\\'\"/])")
@@ -53,12 +60,10 @@ _LATIN = re.compile("[\x00-\xff]*")
 # gzip, bzip2, xz, zstd, zlib
 _MAGICS = ("\x1f\x8b", "BZh", "\xfd7zXZ", "(\xb5/\xfd", "x\x01", "x^", "x\x9c", "x\xda")
 _MAGIC = re.compile("|".join(map(re.escape, _MAGICS)).encode("latin-1"))
-_FED = 1024  # bytes that a decompressor gets at a time, which bounds what they can grow to
+_FED, _MOST = 1024, 1 << 20  # bytes that a decompressor gets and gives at a time
 _READABLE = re.compile(rb"[\t\n\r\x20-\x7e]{16,}")  # secrets are ASCII, and none is shorter
 
 Span = tuple[int, int, int]  # start, index of the kind, end
-# Places of a layer in its parent: start in the layer, start and end in the parent, character by character or as a whole.
-Piece = tuple[int, int, int, bool]
 
 
 def scan(text: str) -> list[Span]:
@@ -73,25 +78,27 @@ def scan(text: str) -> list[Span]:
 
 
 class Layer:
-    """A decoded text and where its characters come from."""
+    """A decoded text and where its characters come from: `up` turns a stretch of it into one of its parent."""
 
-    __slots__ = ("text", "parent", "pieces", "starts")
+    __slots__ = ("text", "parent", "up", "cut")
 
-    def __init__(self, text: str, parent: Layer | None = None, pieces: list[Piece] | None = None):
-        self.text, self.parent, self.pieces = text, parent, pieces or []
-        self.starts = [p[0] for p in self.pieces]
+    def __init__(self, text: str, parent: Layer | None = None, up: Callable | None = None, cut: bool = False):
+        self.text, self.parent, self.up = text, parent, up
+        self.cut = cut or parent is not None and parent.cut
 
     def origin(self, start: int, end: int) -> tuple[int, int]:
         """The place in the original text that [start, end) of this layer was decoded from."""
         layer = self
         while layer.parent is not None:
-            at, first, _, each = layer.pieces[bisect_right(layer.starts, start) - 1]
-            new_start = first + (start - at) * each
-            at, first, last, each = layer.pieces[bisect_right(layer.starts, end - 1) - 1]
-            start, end = new_start, first + end - at if each else last
+            start, end = layer.up(start, end)
             layer = layer.parent
         return start, end
 
+    def key(self) -> tuple[int, int, bytes]:
+        """Its place and a digest of its text."""
+        content = self.text.encode("utf-8", "surrogatepass")
+        return *self.origin(0, len(self.text)), hashlib.blake2b(content, digest_size=16).digest()
+
     def repeats_ancestor(self) -> bool:
         layer = self.parent
         while layer is not None:
@@ -101,8 +108,26 @@ class Layer:
         return False
 
 
-class Unopened(Exception):
-    """A compressed layer over the limit."""
+class Runs:
+    """Places by runs: from starts[i] on, each character stands for widths[i] characters of the parent, from firsts[i] on."""
+
+    def __init__(self):
+        self.starts, self.firsts, self.widths = array("q"), array("q"), array("q")
+
+    def add(self, start: int, first: int, width: int) -> None:
+        if self.starts and self.widths[-1] == width and first == self.firsts[-1] + (start - self.starts[-1]) * width:
+            return
+        self.starts.append(start)
+        self.firsts.append(first)
+        self.widths.append(width)
+
+    def place(self, at: int) -> int:
+        i = bisect_right(self.starts, at) - 1
+        return self.firsts[i] + (at - self.starts[i]) * self.widths[i]
+
+    def up(self, start: int, end: int) -> tuple[int, int]:
+        i = bisect_right(self.starts, end - 1) - 1
+        return self.place(start), self.firsts[i] + (end - self.starts[i]) * self.widths[i]
 
 
 def _opener(data: bytes, at: int):
@@ -118,67 +143,88 @@ def _opener(data: bytes, at: int):
     return zlib.decompressobj() if data.startswith(b"x", at) else None
 
 
-def decompress(data: bytes, limit: int, at: int = 0) -> tuple[bytes, int]:
-    """The content of the stream at a place and of those of its kind that follow it, and where they end."""
-    out, size, end, magic = [], 0, at, data[at : at + 2]
+def inflated(data: bytes, at: int = 0) -> Iterator[tuple[bytes, int, bool]]:
+    """Blocks of the stream at a place and of those of its kind that follow it, where they end, and whether a stream ended."""
+    size, magic = 0, data[at : at + 2]
     while (opener := _opener(data, at)) is not None and data[at : at + 2] == magic:
+        most = () if magic == b"\x28\xb5" else (_MOST,)
         try:
-            while at < len(data) and not opener.eof:
-                fed = data[at : at + _FED]
-                most = () if magic == b"\x28\xb5" else (limit + 1 - size,)
-                out.append(opener.decompress(fed, *most))
-                at, size = at + len(fed), size + len(out[-1])
-                if size > limit:
-                    raise Unopened
+            while not opener.eof:
+                fed = data[at : at + _FED] if getattr(opener, "needs_input", True) else b""
+                block = opener.decompress(fed, *most)
+                at, size = at + len(fed) - len(getattr(opener, "unconsumed_tail", b"")), size + len(block)
+                if block:
+                    yield block, at, False
+                elif not fed:
+                    break
         except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError, zstandard.ZstdError):
-            end = at if size else end
-            break
-        at = end = at - len(opener.unused_data)
+            if size:
+                yield b"", at, True
+            return
+        at -= len(opener.unused_data)
+        yield b"", at, opener.eof
         while data.startswith(b"\0", at):  # padding between streams
             at += 1
-    return b"".join(out), end
 
 
-def streams(data: bytes, limit: int) -> Iterator[tuple[bytes | None, int, int]]:
-    """Contents and places of the compressed streams anywhere in the data; None stands for one over the limit."""
+def windows(blocks: Iterator[bytes], size: int) -> Iterator[bytes]:
+    """The content in windows of `size` bytes, each of which begins in the middle of the one before."""
+    held = bytearray()
+    for block in blocks:
+        held += block
+        while len(held) > size:
+            yield bytes(held[:size])
+            del held[: size // 2]
+    yield bytes(held)
+
+
+def streams(data: bytes, window: int) -> Iterator[tuple[bytes, int, int, bool, bool]]:
+    """The compressed streams anywhere in the data: content or a window of it, place, if it is a window, if it has its end."""
     done = 0
     for m in _MAGIC.finditer(data):
-        if m.start() < done:
+        start = m.start()
+        if start < done:
             continue
-        try:
-            content, end = decompress(data, limit, m.start())
-        except Unopened:
-            yield None, m.start(), len(data)
-            continue
-        if content:
-            yield content, m.start(), end
+        held, size, end, ended = [], 0, start, False
+        for block, end, ended in inflated(data, start):
+            size += len(block)
+            held = held + [block] if size <= window else []
+        if size:
             done = end
+            if size <= window:
+                yield b"".join(held), start, end, False, ended
+            else:
+                for content in windows((block for block, _, _ in inflated(data, start)), window):
+                    yield content, start, end, True, ended
 
 
 def _rewritten(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
-    """The layer with every match of the pattern decoded: decode gives (character, source length) pairs."""
-    out, pieces, size, last = [], [], 0, 0
+    """The layer with every match of the pattern decoded: decode gives texts and the source length of their characters."""
+    out, runs, size, last = [], Runs(), 0, 0
     for m in pattern.finditer(layer.text):
         if m.start() > last:
-            pieces.append((size, last, m.start(), True))
+            runs.add(size, last, 1)
             out.append(layer.text[last : m.start()])
             size += m.start() - last
         at = m.start()
-        for char, length in decode(m):
-            pieces.append((size, at, at + length, False))
-            out.append(char)
-            size, at = size + 1, at + length
+        for chars, length in decode(m):
+            runs.add(size, at, length)
+            out.append(chars)
+            size, at = size + len(chars), at + length * len(chars)
         last = m.end()
     if not out and not last:
         return None
     if last < len(layer.text):
-        pieces.append((size, last, len(layer.text), True))
+        runs.add(size, last, 1)
         out.append(layer.text[last:])
-    return Layer("".join(out), layer, pieces)
+    return Layer("".join(out), layer, runs.up)
 
 
 def _percent_chars(m: re.Match) -> Iterator[tuple[str, int]]:
     data = bytes.fromhex(m[0].replace("%", ""))
+    if data.isascii():
+        yield data.decode(), 3
+        return
     i = 0
     while i < len(data):
         width = 1 + (data[i] >= 0xC0) + (data[i] >= 0xE0) + (data[i] >= 0xF0)
@@ -191,8 +237,11 @@ def _percent_chars(m: re.Match) -> Iterator[tuple[str, int]]:
 
 
 def _percent_bytes(m: re.Match) -> Iterator[tuple[str, int]]:
-    for part in re.findall(r"%..|\+", m[0]):
-        yield (" " if part == "+" else chr(int(part[1:], 16))), len(part)
+    for part in re.finditer(r"(?:%..)+|\++", m[0]):
+        if part[0][0] == "+":
+            yield " " * len(part[0]), 1
+        else:
+            yield bytes.fromhex(part[0].replace("%", "")).decode("latin-1"), 3
 
 
 def _escaped_char(m: re.Match) -> Iterator[tuple[str, int]]:
@@ -211,22 +260,19 @@ def _may_hold_stream(text: str) -> bool:
     return any(magic in text for magic in _MAGICS)
 
 
-def _whole(text: str, parent: Layer, start: int, end: int) -> Layer:
-    return Layer(text, parent, [(0, start, end, False)])
+def _opened(data: bytes, layer: Layer, place: Callable, window: int) -> Iterator[Layer | None]:
+    """The streams in the data as text and, if they are not ASCII, byte by byte; None stands for one that a window cut."""
+    for content, start, end, part, ended in streams(data, window):
+        first, last = place(start, end)
+        for text in (content.decode("utf-8", "replace"), None if content.isascii() else content.decode("latin-1")):
+            if text is not None:
+                yield Layer(text, layer, _always(first, last), part)
+        if layer.cut and not ended:
+            yield None
 
 
-def _contents(content: bytes | None, layer: Layer, start: int, end: int) -> Iterator[Layer | None]:
-    """A stream's content as text and, if it is not ASCII, byte by byte."""
-    if content is None:
-        yield None
-        return
-    yield _whole(content.decode("utf-8", "replace"), layer, start, end)
-    if not content.isascii():
-        yield _whole(content.decode("latin-1"), layer, start, end)
-
-
-def _unwrapped(layer: Layer, limit: int) -> Iterator[Layer | None]:
-    """The layers directly inside a layer; None stands for one over the limit."""
+def _unwrapped(layer: Layer, window: int) -> Iterator[Layer | None]:
+    """The layers directly inside a layer; None stands for a stream that a window cut."""
     text = layer.text
     if "%" in text and (child := _rewritten(layer, _PERCENT, _percent_chars)) is not None:
         yield child
@@ -243,59 +289,71 @@ def _unwrapped(layer: Layer, limit: int) -> Iterator[Layer | None]:
                 yield child
     if _may_hold_stream(text):
         for run in _LATIN.finditer(text):
-            for content, start, end in streams(run[0].encode("latin-1"), limit):
-                yield from _contents(content, layer, run.start() + start, run.start() + end)
+            offset = run.start()
+            yield from _opened(run[0].encode("latin-1"), layer, lambda a, b: (offset + a, offset + b), window)
     for m in _BASE64.finditer(text):
-        yield from _from_base64(layer, m, limit)
+        yield from _from_base64(layer, m, window)
 
 
-def _from_base64(layer: Layer, m: re.Match, limit: int) -> Iterator[Layer | None]:
+def _from_base64(layer: Layer, m: re.Match, window: int) -> Iterator[Layer | None]:
     """Readable stretches and compressed streams that a base64 run holds, at any of four alignments."""
-    places = [i for i in range(*m.span()) if layer.text[i] not in "\r\n"] if "\n" in m[0] else range(*m.span())
-    run = m[0].replace("\r", "").replace("\n", "").replace("-", "+").replace("_", "/")
+    runs, size, run = Runs(), 0, m[0]
+    if "\n" in run:
+        lines = []
+        for line in _LINE.finditer(run):
+            runs.add(size, m.start() + line.start(), 1)
+            lines.append(line[0])
+            size += len(line[0])
+        run = "".join(lines)
+    else:
+        runs.add(0, m.start(), 1)
+    run = run.replace("-", "+").replace("_", "/")
     for shift in range(4):
-        used = run[shift:]
-        used = used[: len(used) - (len(used) % 4 == 1)]
-        if len(used) < 16:
+        size = len(run) - shift - ((len(run) - shift) % 4 == 1)
+        if size < 16:
             break
-        data = base64.b64decode(used + "=" * (-len(used) % 4))
-        for content, start, end in streams(data, limit):
-            yield from _contents(content, layer, places[shift + 8 * start // 6], places[shift + (8 * end - 1) // 6] + 1)
+        data = base64.b64decode(run[shift : shift + size] + "=" * (-size % 4))
+
+        def place(start: int, end: int, shift: int = shift) -> tuple[int, int]:
+            """The characters that hold the first and the last bit of the bytes [start, end)."""
+            return runs.place(shift + 8 * start // 6), runs.place(shift + (8 * end - 1) // 6) + 1
+
+        yield from _opened(data, layer, place, window)
         for stretch in _READABLE.finditer(data):
-            yield _stretch(layer, stretch, places, shift)
+            yield Layer(stretch[0].decode(), layer, _from_byte(place, stretch.start()))
 
 
-def _stretch(layer: Layer, stretch: re.Match, places, shift: int) -> Layer:
-    """Byte k of the data comes from the characters that hold its first and its last bit."""
-    pieces = []
-    for i, k in enumerate(range(*stretch.span())):
-        first, last = shift + 8 * k // 6, shift + (8 * k + 7) // 6
-        pieces.append((i, places[first], places[last] + 1, False))
-    return Layer(stretch[0].decode(), layer, pieces)
+def _always(first: int, last: int) -> Callable:
+    return lambda start, end: (first, last)
 
 
-def find(text: str, max_layer_bytes: int = MAX_LAYER_BYTES) -> tuple[list[Span], list[Span], int, int]:
-    """Base spans, all spans, layers opened and layers left unopened."""
+def _from_byte(place: Callable, first: int) -> Callable:
+    return lambda start, end: place(first + start, first + end)
+
+
+def find(text: str, window: int = WINDOW) -> tuple[list[Span], list[Span], int, int]:
+    """Base spans, all spans, layers opened, and streams that a window cut."""
     base = scan(text)
-    spans, work, seen, opened, unopened = set(base), deque([Layer(text)]), set(), 0, 0
+    spans, work, seen, opened, cut = set(base), [_unwrapped(Layer(text), window)], set(), 0, 0
     while work:
-        for child in _unwrapped(work.popleft(), max_layer_bytes):
-            if child is None:
-                unopened += 1
-                continue
-            if not child.text or child.repeats_ancestor():
-                continue
-            content = child.text.encode("utf-8", "surrogatepass")
-            key = (*child.origin(0, len(child.text)), hashlib.blake2b(content, digest_size=16).digest())
-            if key in seen:
-                continue
-            seen.add(key)
-            opened += 1
-            for start, kind, end in scan(child.text):
-                first, last = child.origin(start, end)
-                spans.add((first, kind, last))
-            work.append(child)
-    return base, sorted(spans), opened, unopened
+        child = next(work[-1], ...)
+        if child is ...:
+            work.pop()
+            continue
+        if child is None:
+            cut += 1
+            continue
+        if not child.text or child.repeats_ancestor():
+            continue
+        if (key := child.key()) in seen:
+            continue
+        seen.add(key)
+        opened += 1
+        for start, kind, end in scan(child.text):
+            first, last = child.origin(start, end)
+            spans.add((first, kind, last))
+        work.append(_unwrapped(child, window))
+    return base, sorted(spans), opened, cut
 
 
 def written(spans: list[Span]) -> str:
@@ -317,38 +375,38 @@ def redact(text: str, spans: list[Span], mark: str = "[SECRET]") -> str:
 
 SCHEMA = pa.schema(
     [("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS), ("base_sha256", pa.string()),
-     ("spans", pa.string()), ("n_layers", pa.int64()), ("n_unopened", pa.int64())]
+     ("spans", pa.string()), ("n_layers", pa.int64()), ("n_cut", pa.int64())]
 )
 DDL = (
     "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, "
-    "n_layers long, n_unopened long"
+    "n_layers long, n_cut long"
 )
 
 
-def secret_spans(docs: DataFrame, max_layer_bytes: int = MAX_LAYER_BYTES) -> DataFrame:
+def secret_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per document: counts of the base finds, their digest, and all spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-                base, spans, opened, unopened = find(text or "", max_layer_bytes)
+                base, spans, opened, cut = find(text or "", window)
                 counts = [sum(s[1] == k for s in base) for k in range(len(KINDS))]
                 digest = hashlib.sha256(written(base).encode()).hexdigest()
-                rows.append((doc_id, *counts, digest, written(spans), opened, unopened))
+                rows.append((doc_id, *counts, digest, written(spans), opened, cut))
             yield record_batch(SCHEMA, list(zip(*rows)) if rows else [[]] * len(SCHEMA))
 
     return id_and_text(docs).mapInArrow(run, DDL)
 
 
-def redact_secrets(docs: DataFrame, max_layer_bytes: int = MAX_LAYER_BYTES) -> DataFrame:
+def redact_secrets(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The same rows and columns with every secret replaced by a mark; n_chars, if present, follows the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, texts = batch.schema.names, batch["text"].to_pylist()
             for i, text in enumerate(texts):
-                if text and (spans := find(text, max_layer_bytes)[1]):
+                if text and (spans := find(text, window)[1]):
                     texts[i] = redact(text, spans)
             new = {"text": pa.array(texts, batch.schema.field("text").type)}
             if "n_chars" in names:

@@ -133,9 +133,58 @@ def test_cycles_end():
     assert secrets.find(text)[2] >= 3
 
 
-def test_limit_is_reported():
-    coded = b64(gzip.compress(b"a" * 100_000))
-    assert secrets.find(coded, max_layer_bytes=1000)[3] >= 1
+@pytest.mark.parametrize("pack", PACKERS.values(), ids=PACKERS)
+def test_long_content_in_windows(pack):
+    filler = hashlib.sha256(b"filler").digest() * 40
+    for at in (0, 5_000, 9_990, 60_000):
+        content = (filler * 80)[:at] + b" " + KEY.encode() + b" " + b64(KEY + " in base64").encode() + b" " + (filler * 80)[at:]
+        text = "before " + b64(pack(content)) + " after"
+        whole, parts = secrets.find(text), secrets.find(text, window=10_000)
+        assert parts[1] == whole[1] and any(kind == 1 for _, kind, _ in parts[1])
+    assert secrets.find("a " + b64(pack(b"\n" * 70_000 + INSIDE + pack(INSIDE))), window=10_000)[3] == 0
+
+
+def test_content_over_every_former_limit():
+    text = b64(gzip.compress(b"password=" + b"x1" * 10 + bytes(65 << 20)))
+    assert [kind for _, kind, _ in secrets.find(text)[1]] == [0]
+    text = b64(gzip.compress(bytes(65 << 20) + b" password=" + b"x1" * 10))
+    assert [kind for _, kind, _ in secrets.find(text)[1]] == [0]
+
+
+def test_cut_streams_are_counted():
+    noise = hashlib.shake_256(b"noise").digest(30_000)
+    inner = gzip.compress(noise + INSIDE)  # grows longer than the window, so it stays longer than half of one
+    assert secrets.find(b64(gzip.compress(bytes(50_000) + inner)), window=10_000)[3] > 0
+    assert secrets.find(b64(gzip.compress(bytes(50_000) + inner)), window=100_000)[3] == 0
+    assert finds_key(b64(gzip.compress(bytes(50_000) + inner)))
+
+
+@pytest.mark.parametrize("width", [5, 19, 57, 64, 76, 100])
+@pytest.mark.parametrize("indent", ["", "    ", "\t"])
+@pytest.mark.parametrize("end", ["\n", "\r\n", " \n"])
+def test_wrapped_base64(width, indent, end):
+    for data in (INSIDE, gzip.compress(INSIDE)):
+        coded = b64(data)
+        lines = [indent + coded[i : i + width] for i in range(0, len(coded), width)]
+        text = f"früher:\n\n{end.join(lines)}\nspäter"
+        new = [s for s in secrets.find(text)[1] if s[1] == 1]
+        assert new
+        if data is INSIDE:
+            at = INSIDE.index(KEY.encode())
+            expected = coded[8 * at // 6 : (8 * (at + len(KEY)) - 1) // 6 + 1]
+            assert "".join(text[new[0][0] : new[0][2]].split()) == expected
+
+
+def test_long_layers_take_little_memory():
+    import tracemalloc
+
+    text = b64(b"some words of prose, " * 100_000 + KEY.encode()) + " " + "%41%42%C3%A4" * 40_000
+    tracemalloc.start()
+    spans = secrets.find(text)[1]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [kind for _, kind, _ in spans] == [1]
+    assert peak < 16 * len(text)
 
 
 def test_frame(spark):
