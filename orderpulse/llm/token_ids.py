@@ -35,7 +35,7 @@ TOKENS_PER_FILE = 16 << 20
 # A space that is alone between two words is always the start of the next token, so texts can be cut there.
 _UNEVEN = ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ")
 _RARE_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_LETTERS_AND_MARKS = re.compile(r"([^\W\d_]+)([.,!?;:]+)")
+_MARKS = ".,!?;:"
 
 
 class Encoder:
@@ -61,19 +61,20 @@ class Encoder:
 
     def _learn(self, words: list[str]) -> None:
         """Ids of words that follow a space. Letters and the marks after them are separate to the tokenizer."""
-        plain = {w: m for w in words if (m := _LETTERS_AND_MARKS.fullmatch(w))}
-        letters = {m[1] for m in plain.values()} | {w for w in words if w not in plain}
-        self._learn_parts(list(letters - self.parts.keys()))
-        marks = list({m[2] for m in plain.values()} - self.marks.keys())
-        self.marks.update(zip(marks, self._ids(marks)))
-        for w in words:
-            self.words[w] = self.parts[m[1]] + self.marks[m[2]] if (m := plain.get(w)) else self.parts[w]
+        letters = [w.rstrip(_MARKS) for w in words]
+        letters = [c if c.isalpha() else w for c, w in zip(letters, words)]
+        marks = [w[len(c) :] for c, w in zip(letters, words)]
+        self._learn_parts(list(set(letters) - self.parts.keys()))
+        new = list(set(marks) - self.marks.keys())
+        self.marks.update(zip(new, self._ids(new)))
+        parts, ends = self.parts, self.marks
+        self.words.update((w, parts[c] + ends[m]) for w, c, m in zip(words, letters, marks))
 
     def _learn_parts(self, words: list[str]) -> None:
         """Ids of words that follow a space, all in one text: a word starts where an id starts with a space."""
         if not words:
             return
-        ids = np.array(self.tokenizer.encode(" " + " ".join(words), add_special_tokens=False).ids, self.kind)
+        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids, self.kind)
         starts = np.flatnonzero(self.after_space[ids]).tolist()
         if len(starts) != len(words):
             raise ValueError("the tokenizer does not cut texts at single spaces")
@@ -98,7 +99,7 @@ class Encoder:
         own = np.ones(len(codes), bool)
         own[ends[:-1]] = False
         used, codes = np.unique(codes[own], return_inverse=True)
-        names = words.dictionary.take(pa.array(used)).to_pylist()
+        names = words.dictionary.take(pa.array(used)).to_numpy(zero_copy_only=False).tolist()
         self._learn([w for w in names if w not in self.words])
         known, end = self.words.__getitem__, np.array([END_ID], self.kind).tobytes()
         # A row of entries for each text: its first word, the others, and the end id. Arrow puts their bytes side by side.
@@ -197,9 +198,10 @@ def write_ids(docs: DataFrame, folder: str, path: str, tokens_per_file: int = TO
     book = [(int(s), int(lengths[s])) for s in np.flatnonzero(lengths)]
     spark.createDataFrame(book, "symbol long, length int").coalesce(1).write.parquet(f"{folder}/codebook")
     parts = -(-sum(r["n"] for r in counts) // tokens_per_file)
-    order = ["doc_id", "n_tokens", F.xxhash64("payload"), "payload"]
-    out = encoded(rows, lengths, path).repartitionByRange(max(1, parts), *order[:3]).sortWithinPartitions(*order)
-    _numbered(out).write.partitionBy("part").option("compression", "zstd").parquet(f"{folder}/documents")
+    # Ids travel instead of codes: Spark evaluates the rows once more to find the ranges, which stays a mere scan this way.
+    order = ["doc_id", "n_tokens", F.xxhash64("ids"), "ids"]
+    ranges = rows.repartitionByRange(max(1, parts), *order[:3]).sortWithinPartitions(*order)
+    _numbered(encoded(ranges, lengths, path)).write.partitionBy("part").option("compression", "zstd").parquet(f"{folder}/documents")
 
 
 def read_ids(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
