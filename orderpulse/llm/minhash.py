@@ -2,6 +2,9 @@
 
 Two texts are linked if the sets of their word shingles share `percent` hundredths of their union or more.
 
+0. SimHash, if a radius is given. Fingerprints of the sets that differ by that many bits or fewer are found with `simhash`'s
+   pivot distance tables and confirmed on the whole sets like all candidates; the steps below look for what this misses,
+   in buckets that still hold several components.
 1. Signatures. For each of bands * rows universal hash functions, the least value over a set's shingles. Texts with the
    same set are one node from here on.
 2. Banding. Sets that agree on all rows of a band share a bucket. With 24 bands of 5 rows, a pair just at 85 hundredths
@@ -35,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderpulse.llm.common import Scratch, id_and_text, mix64, pieces, record_batch, text_bytes
-from orderpulse.llm.simhash import shingle_hashes, text_key
+from orderpulse.llm.simhash import majority_bits, shingle_hashes, similar_fingerprints, text_key
 from orderpulse.llm.stars import components
 
 WORDS = 5
@@ -46,6 +49,7 @@ COUNTERS = 1 << 18  # of the table that orders shingles
 BITMAP_BITS = 24
 CLASS = 1.05  # sizes of one class differ by this factor at most
 CHUNK = 1 << 15  # shingles hashed at a time
+PIECE = 1 << 20  # bytes of text that are signed at a time: 64 bits of each shingle are laid out as bytes
 
 
 def shingle_set(text: bytes, words: int) -> np.ndarray:
@@ -73,20 +77,24 @@ def minima(sets: list[np.ndarray], hashes: int) -> np.ndarray:
     return (out >> np.uint64(32)).astype(np.uint32)
 
 
-def signatures(docs: DataFrame, words: int, hashes: int) -> DataFrame:
-    """(doc_id, key, fp, size, signature) for every row; key tells texts apart and fp sets of shingles."""
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("fp", pa.int64()), ("size", pa.int64()), ("signature", pa.binary())])
+def signatures(docs: DataFrame, words: int, hashes: int, simhash: bool = False) -> DataFrame:
+    """(doc_id, key, fp, size, signature, bits) for every row; key tells texts apart, fp sets of shingles, and bits is the SimHash
+    of a set, or 0 if it is not asked for."""
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("fp", pa.int64()), ("size", pa.int64()), ("signature", pa.binary()),
+                        ("bits", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, size=PIECE):
                 sets = [shingle_set(t, words) for t in text_bytes(part["text"])]
+                sizes = np.array([len(s) for s in sets], np.int64)
                 fp = np.array([xxhash.xxh64_intdigest(s.tobytes(), 42) for s in sets], np.uint64).view(np.int64)
                 found = [x.tobytes() if len(s) else None for x, s in zip(minima(sets, hashes), sets)]
-                yield record_batch(schema, [part["doc_id"], part["key"], fp, [len(s) for s in sets], found])
+                bits = majority_bits(np.concatenate(sets), sizes).view(np.int64) if simhash else np.zeros(len(sets), np.int64)
+                yield record_batch(schema, [part["doc_id"], part["key"], fp, sizes, found, bits])
 
     rows = id_and_text(docs).withColumn("key", text_key("text"))
-    return rows.mapInArrow(run, "doc_id long, key long, fp long, size long, signature binary")
+    return rows.mapInArrow(run, "doc_id long, key long, fp long, size long, signature binary, bits long")
 
 
 def band_keys(sets: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -274,22 +282,29 @@ def meetings(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def open_buckets(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """(band, fp, label) of the buckets that hold several components."""
+    """The rows of the buckets that hold several components, with their label."""
     rows = buckets.join(labels.withColumnRenamed("node", "fp"), "fp", "left")
-    rows = rows.select("band", "fp", F.coalesce("label", "fp").alias("label"))
+    rows = rows.withColumn("label", F.coalesce("label", "fp"))
     some = rows.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("band")
     return rows.join(some, "band")
 
 
-def linked_sets(docs: DataFrame, sets: DataFrame, words: int, percent: int, bands: int, rows: int, scratch: Scratch) -> DataFrame:
+def simhash_pairs(sets: DataFrame, radius: int) -> DataFrame:
+    """Pairs (a, b) of sets whose SimHashes differ by `radius` bits or fewer, by pivot distance tables.
+
+    Sets of one SimHash are paired with the least of them, and these with each other along the links of their SimHashes."""
+    first = sets.groupBy("bits").agg(F.min("fp").alias("a"))
+    alike = sets.join(first, "bits").select("a", F.col("fp").alias("b"))
+    heads = lambda bits, name: first.select(F.col("bits").alias(bits), F.col("a").alias(name))
+    near = similar_fingerprints(first.select(F.col("bits").alias("fp")), radius).select(F.col("a").alias("x"), F.col("b").alias("y"))
+    near = near.join(heads("x", "a"), "x").join(heads("y", "b"), "y").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return alike.filter("a <> b").union(near).distinct()
+
+
+def linked_sets(
+    docs: DataFrame, sets: DataFrame, words: int, percent: int, bands: int, rows: int, radius: int | None, scratch: Scratch
+) -> DataFrame:
     """(node, label) of the components of linked sets; a component's least node and sets without a link are left out."""
-    every = scratch.store(band_keys(sets, bands, rows), "bands")
-    shared = every.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1")
-    buckets = scratch.store(every.join(shared, "band"), "buckets")
-    scratch.free(every)
-    # A set close to what many others have in common is in many large buckets, and makes a good leader.
-    central = buckets.groupBy("fp").agg(F.sum("members").alias("central"))
-    buckets = scratch.store(buckets.drop("members").join(central, "fp"), "buckets")
     links = None
 
     def joined(pairs: DataFrame) -> DataFrame:
@@ -301,9 +316,19 @@ def linked_sets(docs: DataFrame, sets: DataFrame, words: int, percent: int, band
         links = new if links is None else links.union(new)
         return components(links, scratch)
 
-    leader = F.min_by(F.col("fp"), F.struct(-F.col("central"), F.col("fp")))
-    leaders = buckets.groupBy("band").agg(leader.alias("a"))
-    labels = joined(buckets.join(leaders, "band").filter("fp <> a").select("a", F.col("fp").alias("b")).distinct())
+    settled = None if radius is None else joined(simhash_pairs(sets, radius))
+    every = scratch.store(band_keys(sets, bands, rows), "bands")
+    shared = every.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1")
+    buckets = scratch.store(every.join(shared, "band"), "buckets")
+    scratch.free(every)
+    # A set close to what many others have in common is in many large buckets, and makes a good leader.
+    central = buckets.groupBy("fp").agg(F.sum("members").alias("central"))
+    buckets = scratch.store(buckets.drop("members").join(central, "fp"), "buckets")
+    # What SimHash has settled is not looked for again: only sets of another component than their leader's are paired.
+    left = buckets.withColumn("label", F.col("fp")) if settled is None else open_buckets(buckets, settled)
+    leader = F.min_by(F.struct("fp", "label"), F.struct(-F.col("central"), F.col("fp")))
+    leaders = left.groupBy("band").agg(leader.alias("led")).select("band", F.col("led.fp").alias("a"), F.col("led.label").alias("of"))
+    labels = joined(left.join(leaders, "band").filter("label <> of").select("a", F.col("fp").alias("b")).distinct())
     crowded = scratch.store(open_buckets(buckets, labels).select("fp", "label").distinct(), "open")
     if crowded.isEmpty():
         return labels
@@ -312,16 +337,19 @@ def linked_sets(docs: DataFrame, sets: DataFrame, words: int, percent: int, band
 
 
 def near_duplicates(
-    docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, link_empty: bool = False
-) -> DataFrame:
+    docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, link_empty: bool = False,
+    radius: int | None = None,
+) -> DataFrame:
     """(doc_id, key, n_shingles, component, component_id) for every row: component_id is the smallest doc_id reachable over
-    links, itself included, and component tells components apart, also those without an id."""
+    links, itself included, and component tells components apart, also those without an id. With a radius, SimHash looks
+    for links first; the result is the same."""
     scratch = Scratch(docs.sparkSession)
-    found = scratch.store(signatures(docs, words, bands * rows), "signatures")
+    found = scratch.store(signatures(docs, words, bands * rows, radius is not None), "signatures")
     place = F.min(F.struct(F.coalesce("doc_id", F.lit(-1)).alias("doc"), "key")).alias("place")
-    sets = found.filter("size > 0").groupBy("fp").agg(F.first("signature").alias("signature"), place, F.min("doc_id").alias("first_id"))
-    sets = scratch.store(sets.select("fp", "signature", "place.*", "first_id"), "sets")
-    labels = linked_sets(docs, sets, words, percent, bands, rows, scratch)
+    sets = found.filter("size > 0").groupBy("fp")
+    sets = sets.agg(F.first("signature").alias("signature"), F.first("bits").alias("bits"), place, F.min("doc_id").alias("first_id"))
+    sets = scratch.store(sets.select("fp", "signature", "bits", "place.*", "first_id"), "sets")
+    labels = linked_sets(docs, sets, words, percent, bands, rows, radius, scratch)
     named = sets.select("fp", "first_id").join(labels.withColumnRenamed("node", "fp"), "fp", "left")
     named = named.select("fp", "first_id", F.coalesce("label", "fp").alias("component"))
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
@@ -333,9 +361,11 @@ def near_duplicates(
     return out.select("doc_id", "key", "n_shingles", "component", component_id.alias("component_id"))
 
 
-def keep_one(docs: DataFrame, words: int = WORDS, percent: int = 80, bands: int = 30, rows: int = 4) -> DataFrame:
-    """Of each component the row with the smallest doc_id, with all columns; of rows that share it, one. Empty texts are alike."""
-    found = near_duplicates(docs, words, percent, bands, rows, link_empty=True)
+def keep_one(docs: DataFrame, words: int = WORDS, percent: int = 80, bands: int = 30, rows: int = 4, radius: int | None = 3) -> DataFrame:
+    """Of each component the row with the smallest doc_id, with all columns; of rows that share it, one. Empty texts are alike.
+
+    Links are looked for by SimHash within `radius` bits first, if any, and by MinHash where that left several components."""
+    found = near_duplicates(docs, words, percent, bands, rows, link_empty=True, radius=radius)
     least = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = least.groupBy("component", (F.col("n_shingles") == 0).alias("empty"))
     kept = kept.agg(F.min("key").alias("kept_key"), F.first("doc_id").alias("kept_id"))

@@ -163,3 +163,18 @@ def test_stars_on_chains_and_hubs(spark):
     assert {tuple(r) for r in components(frame, Scratch(spark)).collect()} == expected
     none = spark.createDataFrame([], "a long, b long")
     assert components(none, Scratch(spark)).count() == 0
+
+
+def test_simhash_finds_links_of_its_own(spark, monkeypatch):
+    """The stage's candidates come from SimHash first: with bands that find nothing, close copies are linked all the same."""
+    rng, texts = random.Random(4), []
+    for k in range(6):
+        words = [f"w{k}x{i}" for i in range(3000)]
+        texts += [" ".join(words), edited(rng, words, 1), edited(rng, words, 1)]
+    docs = docs_frame(spark, texts)
+    apart = dict(percent=80, bands=1, rows=4000)
+    assert len({c for _, c in result(docs, **apart).values()}) == len(texts)
+    assert len({c for _, c in result(docs, radius=3, **apart).values()}) < len(texts) - 6
+    used, search = [], minhash.similar_fingerprints
+    monkeypatch.setattr(minhash, "similar_fingerprints", lambda fps, radius: used.append(radius) or search(fps, radius))
+    assert stage(docs).count() == 6 and used == [3]
