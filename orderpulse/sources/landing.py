@@ -91,10 +91,14 @@ def _prefixed(prefix: str, values: Column) -> Column:
     return F.coalesce(values, F.create_map().cast(_OBJECT))
 
 
+def _body() -> Column:
+    """The line as a VARIANT, NULL unless it is an object. Parsed once: an object is what begins with a brace."""
+    return F.when(F.col("value").rlike(r"^[ \t\r\n]*\{"), F.try_parse_json("value"))
+
+
 def with_body(lines: DataFrame) -> DataFrame:
     """`value` with the parsed `body`, which is NULL unless the line is an object."""
-    body = F.try_parse_json("value")
-    return lines.select("value", F.when(F.schema_of_variant(body).startswith("OBJECT"), body).alias("body"))
+    return lines.select("value", _body().alias("body"))
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:

@@ -46,6 +46,27 @@ def test_nothing_is_lost(spark):
     assert all(v is None for r in torn for k, v in r.asDict().items() if k != "corrupt_record")
 
 
+def test_a_line_is_parsed_once_a_step(spark, capsys):
+    """The filter and the typed event parse each line once more than the typed reader does, not two and four times."""
+    landing.whole_records(landed(spark)).select("event_id").explain()
+    steps = [line for line in capsys.readouterr().out.splitlines() if "parseJson" in line]
+    assert steps and all(line.count("parseJson") == 1 for line in steps)
+
+
+def test_what_is_a_record(spark):
+    """As the parsed value's own type has it."""
+    lines = [
+        '{"a":1,"a":2}', '\ufeff{"a":1}', ' \t{"a":1}  ', '\x0b{"a":1}', '{"a":1} tail', '[{"a":1}]', '"{"', "{", "{}", "null",
+        '{"a":NaN}', "{'a':1}", '\u00a0{"a":1}', '/* c */{"a":1}', None,
+    ]
+    frame = spark.createDataFrame([(line,) for line in lines], "value string")
+    by_type = F.coalesce(F.schema_of_variant(F.try_parse_json("value")).startswith("OBJECT"), F.lit(False))
+    got = landing.with_body(frame)
+    expected = {r.value: r.is_record for r in frame.select("value", by_type.alias("is_record")).collect()}
+    assert {r.value: r.found for r in got.select("value", F.col("body").isNotNull().alias("found")).collect()} == expected
+    assert sum(expected.values()) == 3
+
+
 def test_the_payload_can_be_asked_later(spark):
     rows = landed(spark).filter("event_id = '2'")
     got = rows.selectExpr("try_variant_get(payload_raw, '$.channel', 'string')", "try_variant_get(payload_raw, '$.items[0].x', 'int')").first()
