@@ -81,7 +81,11 @@ class Delivery:
 
 
 def _halves(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Stored, so that several deliveries of one half do not derive it from the tables again."""
     events = testdata.bronze_events(spark, sf_dir)
+    folder = work_folder(spark, "halves")
+    events.write.parquet(folder)
+    events = spark.read.schema(events.schema).parquet(folder)
     border = F.date_format(as_time(HALF), testdata.TIME_TEXT)
     return events.filter(F.col("occurred_at") < border), events.filter(F.col("occurred_at") >= border)
 
