@@ -3,8 +3,7 @@
 Two texts are linked if the sets of their word shingles share `percent` hundredths of their union or more.
 
 0. SimHash, if a radius is given. Fingerprints of the sets that differ by that many bits or fewer are found with `simhash`'s
-   pivot distance tables and confirmed on the whole sets like all candidates; the steps below look for what this misses,
-   in buckets that still hold several components.
+   pivot distance tables. These candidates and those of the stars below are confirmed on the whole sets together.
 1. Signatures. For each of bands * rows universal hash functions, the least value over a set's shingles. Texts with the
    same set are one node from here on.
 2. Banding. Sets that agree on all rows of a band share a bucket. With 24 bands of 5 rows, a pair just at 85 hundredths
@@ -13,7 +12,7 @@ Two texts are linked if the sets of their word shingles share `percent` hundredt
    that agree five standard deviations less than linked ones should are discarded; the rest is confirmed on the whole
    sets, a leader's text being sent once for many partners.
 4. Components of the confirmed links, by alternating large-star and small-star. Buckets that lie within one component are
-   settled.
+   settled. Links of the next step are added to these components, not to the links behind them.
 5. Rest. Sets of buckets that still hold several components are compared by size classes and ordered prefixes. Linked
    sets of sizes a and b share `percent` / (100 + percent) * (a + b) shingles, so that all but that many, plus one, of
    each set's shingles, the rare ones first, must have one in common. The prefix is so much shorter for a given class of
@@ -305,35 +304,35 @@ def linked_sets(
     docs: DataFrame, sets: DataFrame, words: int, percent: int, bands: int, rows: int, radius: int | None, scratch: Scratch
 ) -> DataFrame:
     """(node, label) of the components of linked sets; a component's least node and sets without a link are left out."""
-    links = None
 
-    def joined(pairs: DataFrame) -> DataFrame:
-        """Components after confirming the pairs as well."""
-        nonlocal links
+    def linked(pairs: DataFrame) -> DataFrame:
+        """The pairs whose whole sets are linked."""
         pairs = scratch.store(likely(pairs, sets, percent, bands * rows), "pairs")
-        new = scratch.store(confirmed(pairs, sets, docs, words, percent), "links")
+        found = scratch.store(confirmed(pairs, sets, docs, words, percent), "links")
         scratch.free(pairs)
-        links = new if links is None else links.union(new)
-        return components(links, scratch)
+        return found
 
-    settled = None if radius is None else joined(simhash_pairs(sets, radius))
     every = scratch.store(band_keys(sets, bands, rows), "bands")
     shared = every.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1")
     buckets = scratch.store(every.join(shared, "band"), "buckets")
     scratch.free(every)
     # A set close to what many others have in common is in many large buckets, and makes a good leader.
     central = buckets.groupBy("fp").agg(F.sum("members").alias("central"))
-    buckets = scratch.store(buckets.drop("members").join(central, "fp"), "buckets")
-    # What SimHash has settled is not looked for again: only sets of another component than their leader's are paired.
-    left = buckets.withColumn("label", F.col("fp")) if settled is None else open_buckets(buckets, settled)
-    leader = F.min_by(F.struct("fp", "label"), F.struct(-F.col("central"), F.col("fp")))
-    leaders = left.groupBy("band").agg(leader.alias("led")).select("band", F.col("led.fp").alias("a"), F.col("led.label").alias("of"))
-    labels = joined(left.join(leaders, "band").filter("label <> of").select("a", F.col("fp").alias("b")).distinct())
+    old, buckets = buckets, scratch.store(buckets.drop("members").join(central, "fp"), "buckets")
+    scratch.free(old)
+    leaders = buckets.groupBy("band").agg(F.min_by("fp", F.struct(-F.col("central"), F.col("fp"))).alias("a"))
+    pairs = buckets.join(leaders, "band").filter("a <> fp").select("a", F.col("fp").alias("b"))
+    if radius is not None:
+        pairs = pairs.union(simhash_pairs(sets, radius))
+    labels = components(linked(pairs.distinct()), scratch)
     crowded = scratch.store(open_buckets(buckets, labels).select("fp", "label").distinct(), "open")
     if crowded.isEmpty():
         return labels
     first = prefixes(crowded.select("fp"), sets, docs, words, percent, scratch).join(crowded, "fp")
-    return joined(scratch.store(meetings(first, percent), "met"))
+    links = linked(scratch.store(meetings(first, percent), "met"))
+    if links.isEmpty():
+        return labels
+    return components(links.union(labels.select(F.col("label").alias("a"), F.col("node").alias("b"))), scratch)
 
 
 def near_duplicates(
@@ -342,7 +341,7 @@ def near_duplicates(
 ) -> DataFrame:
     """(doc_id, key, n_shingles, component, component_id) for every row: component_id is the smallest doc_id reachable over
     links, itself included, and component tells components apart, also those without an id. With a radius, SimHash looks
-    for links first; the result is the same."""
+    for links as well; the result is the same."""
     scratch = Scratch(docs.sparkSession)
     found = scratch.store(signatures(docs, words, bands * rows, radius is not None), "signatures")
     place = F.min(F.struct(F.coalesce("doc_id", F.lit(-1)).alias("doc"), "key")).alias("place")
@@ -364,7 +363,7 @@ def near_duplicates(
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = 80, bands: int = 30, rows: int = 4, radius: int | None = 3) -> DataFrame:
     """Of each component the row with the smallest doc_id, with all columns; of rows that share it, one. Empty texts are alike.
 
-    Links are looked for by SimHash within `radius` bits first, if any, and by MinHash where that left several components."""
+    Links are looked for by SimHash within `radius` bits, if any, and by MinHash."""
     found = near_duplicates(docs, words, percent, bands, rows, link_empty=True, radius=radius)
     least = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = least.groupBy("component", (F.col("n_shingles") == 0).alias("empty"))

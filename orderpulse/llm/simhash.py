@@ -30,6 +30,7 @@ SEED = 42
 PIVOTS = mix64(np.arange(1, 17, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 SMALL_GROUP = 64  # up to here, all pairs under a key go through the table
 TASK_ROWS = 50_000
+CHUNK = 1 << 14  # hashes whose bits are laid out at a time
 
 
 def shingle_hashes(text: bytes, words: int) -> list[int]:
@@ -50,9 +51,14 @@ def majority_bits(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     full = np.flatnonzero(counts)
     if not len(full):
         return out
-    starts = np.r_[0, np.cumsum(counts[full])[:-1]]
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int64)
+    ends = np.cumsum(counts[full])
+    ones = np.zeros((len(full), 64), np.int64)
+    for a in range(0, len(hashes), CHUNK):  # a sum makes eight bytes of each bit
+        bits = np.unpackbits(hashes[a : a + CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        low = int(np.searchsorted(ends, a, side="right"))
+        high = int(np.searchsorted(ends, a + len(bits) - 1, side="right")) + 1
+        starts = np.maximum(np.r_[0, ends[:-1]][low:high] - a, 0)
+        ones[low:high] += np.add.reduceat(bits, starts, axis=0, dtype=np.int64)
     over = (2 * ones > counts[full][:, None]).astype(np.uint8)
     out[full] = np.packbits(over, axis=1, bitorder="little").reshape(-1).view(np.uint64)
     return out

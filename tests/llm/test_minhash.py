@@ -178,3 +178,14 @@ def test_simhash_finds_links_of_its_own(spark, monkeypatch):
     used, search = [], minhash.similar_fingerprints
     monkeypatch.setattr(minhash, "similar_fingerprints", lambda fps, radius: used.append(radius) or search(fps, radius))
     assert stage(docs).count() == 6 and used == [3]
+
+
+def test_candidates_of_simhash_and_minhash_are_confirmed_together(spark, monkeypatch):
+    """One round of confirmation and components for both; another only for what the exact rest still links."""
+    rng, words, runs = random.Random(9), [f"w{i}" for i in range(400)], []
+    texts = [" ".join(words), edited(rng, words, 1), edited(rng, words, 2), "apart " * 3]
+    for name in ("confirmed", "components"):
+        call = getattr(minhash, name)
+        monkeypatch.setattr(minhash, name, lambda *a, call=call, name=name: runs.append(name) or call(*a))
+    assert {r.doc_id for r in stage(docs_frame(spark, texts)).collect()} == plain_kept(list(enumerate(texts)))
+    assert runs == ["confirmed", "components"]

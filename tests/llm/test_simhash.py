@@ -1,6 +1,7 @@
 """SimHash against brute force over all pairs."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import xxhash
@@ -105,3 +106,18 @@ def test_large_group_matches_all_pairs():
     fps = np.array(clouds(rng, 300), np.uint64)
     a, b = simhash.links_in_large_group(fps, 3)
     assert components_of(list(zip(a.tolist(), b.tolist())), fps.tolist()) == plain_components(fps.tolist())
+
+
+def test_bits_of_many_hashes_take_bounded_memory():
+    rng = np.random.default_rng(6)
+    counts = np.array([3, 0, 200_000, 1, 50_000, 0, 16_384])
+    hashes = rng.integers(0, 2**63, counts.sum()).astype(np.uint64) * np.uint64(3)
+    tracemalloc.start()
+    found = simhash.majority_bits(hashes, counts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20
+    ends = np.cumsum(counts)
+    for n, end, bits in zip(counts.tolist(), ends.tolist(), found.tolist()):
+        own = hashes[end - n : end]
+        assert bits == sum(1 << k for k in range(64) if 2 * int((own >> np.uint64(k) & np.uint64(1)).sum()) > n)
