@@ -14,7 +14,6 @@ follow each other, shorter ones first. An empty table gives empty files.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,17 +26,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderpulse.llm import huffman
-from orderpulse.llm.common import id_and_text, pieces, record_batch, stored
+from orderpulse.llm.common import Scratch, id_and_text, pieces, record_batch
 
 END_ID = 2
-CACHED = 400_000
+CACHED = 600_000
+IDS = 1 << 20  # bytes of ids that are coded at a time, few enough for the processor's cache
 TOKENS_PER_FILE = 16 << 20
 # A space that is alone between two words is always the start of the next token, so texts can be cut there.
-_UNEVEN = ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ")
-_RARE_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_UNEVEN = " [ \n\t\r]|[\n\t\r] |[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _MARKS = ".,!?;:"
 
 
+def _listed(column: pa.Array) -> list:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 class Encoder:
     """Ids of whole texts; the ids of words met before are remembered."""
 
@@ -47,70 +50,90 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.words: dict[str, bytes] = {}  # ids of words after a space
-        self.parts: dict[str, bytes] = {}  # ids of their letters after a space
-        self.marks: dict[str, bytes] = {}  # ids of the marks that follow the letters
+        self._forget()
         pieces_by_id = sorted(self.tokenizer.get_vocab().items(), key=lambda x: x[1])
         self.after_space = np.zeros(pieces_by_id[-1][1] + 1, bool)
         for piece, i in pieces_by_id:
             self.after_space[i] = piece[0] == "\u0120"  # the byte-level name of a space
 
+    def _forget(self) -> None:
+        self.parts: dict[str, bytes] = {}  # ids of words after a space, or of their letters
+        self.marks: dict[str, bytes] = {"": b""}  # ids of the marks that follow the letters, in order of `places`
+        self.places = {"": 0}
+
     def _ids(self, texts: list[str]) -> list[bytes]:
         done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.kind).tobytes() for x in done]
 
-    def _learn(self, words: list[str]) -> None:
+    def _words(self, words: pa.Array) -> pa.Array:
         """Ids of words that follow a space. Letters and the marks after them are separate to the tokenizer."""
-        letters = [w.rstrip(_MARKS) for w in words]
-        letters = [c if c.isalpha() else w for c, w in zip(letters, words)]
-        marks = [w[len(c) :] for c, w in zip(letters, words)]
-        self._learn_parts(list(set(letters) - self.parts.keys()))
-        new = list(set(marks) - self.marks.keys())
-        self.marks.update(zip(new, self._ids(new)))
-        parts, ends = self.parts, self.marks
-        self.words.update((w, parts[c] + ends[m]) for w, c, m in zip(words, letters, marks))
-
-    def _learn_parts(self, words: list[str]) -> None:
+        letters = pa.compute.utf8_rtrim(words, characters=_MARKS)
+        marked = np.flatnonzero(pa.compute.not_equal(letters, words).to_numpy(zero_copy_only=False))
+        split, mark = np.zeros(len(words), bool), np.zeros(len(words), np.int64)
+        for k, w, c in zip(marked.tolist(), _listed(words.take(pa.array(marked))), _listed(letters.take(pa.array(marked)))):
+            if c.isalpha():
+                split[k], mark[k] = True, self._mark(w[len(c) :])
+        parts = pa.compute.if_else(pa.array(split), letters, words).dictionary_encode()
+        names = _listed(parts.dictionary)
+        ids = list(map(self.parts.get, names))
+        new = [k for k, x in enumerate(ids) if x is None]
+        for k, x in zip(new, self._learn([names[k] for k in new])):
+            ids[k] = x
+        found = pa.array(ids, pa.large_binary()).take(parts.indices)
+        marks = pa.array(list(self.marks.values()), pa.large_binary()).take(pa.array(mark))
+        return pa.compute.binary_join_element_wise(found, marks, pa.scalar(b"", pa.large_binary()))
+
+    def _mark(self, marks: str) -> int:
+        """The place of the marks among those met before."""
+        place = self.places.get(marks)
+        if place is None:
+            place = self.places[marks] = len(self.places)
+            self.marks[marks] = self._ids([marks])[0]
+        return place
+
+    def _learn(self, words: list[str]) -> list[bytes]:
         """Ids of words that follow a space, all in one text: a word starts where an id starts with a space."""
         if not words:
-            return
+            return []
         ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids, self.kind)
         starts = np.flatnonzero(self.after_space[ids]).tolist()
         if len(starts) != len(words):
             raise ValueError("the tokenizer does not cut texts at single spaces")
         data, width = ids.tobytes(), self.kind.itemsize
-        for word, a, b in zip(words, starts, [*starts[1:], len(ids)]):
-            self.parts[word] = data[a * width : b * width]
+        cuts = [width * a for a in [*starts, len(ids)]]
+        found = [data[a:b] for a, b in zip(cuts, cuts[1:])]
+        self.parts.update(zip(words, found))
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids, each text followed by the end id."""
-        if len(self.words) > CACHED:
-            self.words.clear()
-        if len(self.parts) > CACHED:
-            self.parts.clear()
-            self.marks.clear()
+        if len(self.parts) + len(self.marks) > CACHED:
+            self._forget()
         # The first word follows no space; a text with other white space next to a space is encoded as a whole.
-        even = [not any(u in t for u in _UNEVEN) and not _RARE_SPACE.search(t) for t in texts]
-        cut = pa.compute.split_pattern(pa.array([t if e else "" for t, e in zip(texts, even)], pa.large_string()), " ")
+        whole = pa.array(texts, pa.large_string())
+        uneven = pa.compute.match_substring_regex(whole, _UNEVEN)
+        cut = pa.compute.split_pattern(pa.compute.if_else(uneven, "", whole), " ")
         words, ends = cut.values.dictionary_encode(), cut.offsets.to_numpy()
-        firsts = cut.values.take(pa.array(ends[:-1])).to_pylist()
-        first = self._ids([f if e else t for f, t, e in zip(firsts, texts, even)])
+        firsts = _listed(cut.values.take(pa.array(ends[:-1])))
+        first = self._ids([t if u else f for f, t, u in zip(firsts, texts, uneven.to_pylist())])
         codes = words.indices.to_numpy().astype(np.int64)
         own = np.ones(len(codes), bool)
         own[ends[:-1]] = False
-        used, codes = np.unique(codes[own], return_inverse=True)
-        names = words.dictionary.take(pa.array(used)).to_numpy(zero_copy_only=False).tolist()
-        self._learn([w for w in names if w not in self.words])
-        known, end = self.words.__getitem__, np.array([END_ID], self.kind).tobytes()
+        used = np.flatnonzero(np.bincount(codes[own], minlength=len(words.dictionary)))
+        place = np.zeros(len(words.dictionary), np.int64)
+        place[used] = np.arange(len(used))
+        codes = place[codes[own]]
+        known = self._words(words.dictionary.take(pa.array(used)))
+        last = pa.array([*first, np.array([END_ID], self.kind).tobytes()], pa.large_binary())
         # A row of entries for each text: its first word, the others, and the end id. Arrow puts their bytes side by side.
-        entries = pa.array([*map(known, names), *first, end], pa.large_binary())
+        entries = pa.concat_arrays([known, last])
         starts = np.arange(len(texts)) + ends[:-1]
         row = np.empty(len(own) + len(texts), np.int64)
         place = np.zeros(len(row), bool)
         place[starts] = place[ends[1:] + np.arange(len(texts))] = True
         row[~place] = codes
-        row[starts] = len(names) + np.arange(len(texts))
-        row[ends[1:] + np.arange(len(texts))] = len(names) + len(texts)
+        row[starts] = len(used) + np.arange(len(texts))
+        row[ends[1:] + np.arange(len(texts))] = len(used) + len(texts)
         found = entries.take(pa.array(row))
         data, at = found.buffers()[2], np.frombuffer(found.buffers()[1], np.int64)[: len(row) + 1]
         data = memoryview(data) if data else b""
@@ -165,7 +188,7 @@ def encoded(rows: DataFrame, lengths: np.ndarray, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = huffman.canonical_codes(lengths)
         for batch in batches:
-            for part in pieces(batch, "ids"):
+            for part in pieces(batch, "ids", IDS):
                 ids = np.frombuffer(b"".join(part["ids"].to_pylist()), encoder(path).kind).astype(np.int64)
                 counts = part["n_tokens"].to_numpy()
                 yield record_batch(schema, [part["doc_id"], counts, *huffman.encode(ids, counts, codes, lengths)])
@@ -192,15 +215,20 @@ def _numbered(rows: DataFrame) -> DataFrame:
 def write_ids(docs: DataFrame, folder: str, path: str, tokens_per_file: int = TOKENS_PER_FILE) -> None:
     """Write the files described above into a new folder. `path` is the tokenizer's file, known to every executor."""
     spark = docs.sparkSession
-    rows = stored(tokenized(docs, path), "ids", "zstd")
+    scratch = Scratch(spark)
+    rows = scratch.store(tokenized(docs, path), "ids", "zstd")
     counts = id_counts(rows, path).collect()  # at most one row per id of the vocabulary
     lengths = huffman.code_lengths(_dense(counts, "n"))
     book = [(int(s), int(lengths[s])) for s in np.flatnonzero(lengths)]
     spark.createDataFrame(book, "symbol long, length int").coalesce(1).write.parquet(f"{folder}/codebook")
     parts = -(-sum(r["n"] for r in counts) // tokens_per_file)
     order = ["doc_id", "n_tokens", F.xxhash64("payload"), "payload"]
-    out = encoded(rows, lengths, path).repartitionByRange(max(1, parts), *order[:3]).sortWithinPartitions(*order)
+    # Spark reads what it deals out by ranges twice, the first time for a sample; codes are made once.
+    coded = scratch.store(encoded(rows, lengths, path), "payloads")
+    scratch.free(rows)
+    out = coded.repartitionByRange(max(1, parts), *order[:3]).sortWithinPartitions(*order)
     _numbered(out).write.partitionBy("part").option("compression", "zstd").parquet(f"{folder}/documents")
+    scratch.free(coded)
 
 
 def read_ids(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
