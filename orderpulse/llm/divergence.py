@@ -34,14 +34,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderpulse.llm.common import pieces, record_batch, stored, text_bytes
+from orderpulse.llm.common import mix64, pieces, record_batch, stored, text_bytes
 
 LEAST_DOCS = 10
 FIRST_BYTES = 5
 TOP_TERMS = 10
 BITMAP_BITS = 24
 BLOCK_CELLS = 1 << 16  # of a block's matrix of terms by sources
-PIECE = 16 << 20  # bytes of term lists that are worked on at a time
+PIECE = 8 << 20  # bytes of term lists that are worked on at a time
+ROWS = 1 << 16  # handed to Spark at a time
 HELD = 1 << 20  # entries that a task holds before it combines them
 _TERM = re.compile(rb"[A-Za-z\x80-\xff]+")  # UTF-8 bytes: letters of ASCII, and all beyond
 
@@ -69,11 +70,29 @@ def term_lists(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "lang string, source string, grp long, terms binary, counts binary")
 
 
-def keys_of(langs: list[str], prefixes: list[bytes]) -> np.ndarray:
-    """A hash of each (lang, prefix)."""
-    seeds = {lang: xxhash.xxh32_intdigest(lang) for lang in set(langs)}
-    digest = xxhash.xxh64_intdigest
-    return np.array([digest(p, seeds[lang]) for lang, p in zip(langs, prefixes)], np.uint64).view(np.int64)
+def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a large binary column, and where its values begin and the last one ends."""
+    at = np.frombuffer(column.buffers()[1] or bytes(8), np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8), at
+
+
+def keys_of(langs: pa.Array, prefixes: pa.Array) -> np.ndarray:
+    """A hash of each (lang, prefix), of eight bytes at a time."""
+    langs = langs.dictionary_encode()
+    seeds = np.array([xxhash.xxh64_intdigest(lang) for lang in langs.dictionary.to_pylist()], np.uint64)
+    data, at = bytes_of(prefixes)
+    padded = np.r_[data, np.zeros(8, np.uint8)]
+    eights = np.lib.stride_tricks.as_strided(padded[:8].view(np.uint64), (len(data) + 1,), (1,), writeable=False)
+    left, rest = np.arange(len(prefixes)), np.diff(at)
+    out = mix64(seeds[langs.indices.to_numpy()] ^ mix64(rest.astype(np.uint64)))
+    start = at[:-1]
+    while len(left):
+        free = np.uint64(8) * (8 - np.clip(rest, 0, 8)).astype(np.uint64)
+        own = np.where(rest > 0, eights[start] << np.minimum(free, 63), 0)
+        out[left] = mix64(out[left] * np.uint64(0x9E3779B97F4A7C15) ^ own)
+        more = rest > 8
+        left, start, rest = left[more], start[more] + 8, rest[more] - 8
+    return out.view(np.int64)
 
 
 def bitmap(keys: DataFrame) -> np.ndarray:
@@ -115,7 +134,7 @@ class _Flat:
     def keys(self, of: np.ndarray, size: int) -> np.ndarray:
         """Hashes of the first `size` bytes of the distinct terms `of`."""
         terms = pc.binary_slice(self.terms.take(pa.array(of)), 0, size)
-        return keys_of(self.langs.take(pa.array(of)).to_pylist(), terms.to_pylist())
+        return keys_of(self.langs.take(pa.array(of)), terms)
 
 
 class _Sums:
@@ -165,9 +184,10 @@ def prefix_counts(lists: DataFrame, before: np.ndarray | None, last: int, size:
                 # A row's terms are in byte order, so those with the same prefix are neighbours and count once.
                 new = np.r_[True, (codes[1:] != codes[:-1]) | (docs[1:] != docs[:-1])] if len(rows) else np.zeros(0, bool)
                 n = np.bincount(codes[new], minlength=len(names))
-                text = prefixes.dictionary.take(pa.array(names % many)).to_pylist()
-                keys = keys_of(langs.dictionary.take(pa.array(names // many)).to_pylist(), text)
-                sums.add(keys, np.array([t[-1] == 0 for t in text], np.int64), n)
+                text = prefixes.dictionary.take(pa.array(names % many))
+                keys = keys_of(langs.dictionary.take(pa.array(names // many)), text)
+                data, at = bytes_of(text)
+                sums.add(keys, (data[at[1:] - 1] == 0).astype(np.int64), n)
         yield record_batch(schema, list(sums.taken()))
 
     found = lists.select("lang", "terms").mapInArrow(run, "key long, whole long, docs long")
@@ -215,11 +235,14 @@ def term_counts(lists: DataFrame, kept: DataFrame, longest: int) -> DataFrame:
                 none = [None] * len(new)
                 yield record_batch(schema, [keys[new], none, none, flat.terms.take(pa.array(left[new])).cast(pa.binary())])
         key, group, n = sums.taken()
-        yield record_batch(schema, [key, group, n, [None] * len(n)])
+        for a in range(0, len(n), ROWS):
+            own = slice(a, a + ROWS)
+            yield record_batch(schema, [key[own], group[own], n[own], pa.nulls(len(n[own]), pa.binary())])
 
     found = stored(lists.select("lang", "grp", "terms", "counts").mapInArrow(run, "key long, grp long, n long, term binary"), "key-counts")
     names = found.filter("term IS NOT NULL").select("key", "term").distinct().join(kept, "key", "left_semi")
-    counts = found.filter("n > 0").groupBy("key", "grp").agg(F.sum("n").alias("n"))
+    # A task's rows are summed already. Dealt by term, they are summed and named without another shuffle.
+    counts = found.filter("n > 0").select("key", "grp", "n").repartition("key").groupBy("key", "grp").agg(F.sum("n").alias("n"))
     groups = lists.select("grp", "lang", "source").distinct()
     return counts.join(names, "key").join(groups, "grp").select("lang", "source", "term", "n")
 

@@ -4,6 +4,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from llm_data import SF, docs_frame
 
@@ -95,3 +97,20 @@ def test_shares_stay_exact_beyond_64_bits(spark):
     row = spark.sql("SELECT 20000000000000 AS n, 3000000000000000 AS whole, 7 AS terms")
     found = row.select(divergence.share("n", "whole", "terms").alias("p")).first().p
     assert found == 1 + 10**9 * (20000000000000 + 2) // (3000000000000000 + 14)
+
+
+def test_keys_tell_langs_lengths_and_bytes_apart():
+    rng = np.random.default_rng(7)
+    texts = [b"", b"\0", b"\0\0", b"a", b"a\0", b"abcdefg\0", b"abcdefgh", b"abcdefgh\0", b"\0abcdefgh", b"x" * 16, b"x" * 17, b"x" * 5000]
+    texts += sorted({rng.integers(97, 101, n).astype(np.uint8).tobytes() + b"\0" for n in rng.integers(7, 40, 50_000)})
+    rows = [(lang, t) for lang in ("", "en", "de") for t in texts]
+    langs, terms = pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.large_binary())
+    keys = divergence.keys_of(langs, terms)
+    assert len(set(keys.tolist())) == len(rows)
+    some = rng.permutation(len(rows))[:1000]
+    assert (divergence.keys_of(langs.take(pa.array(some)), terms.take(pa.array(some))) == keys[some]).all()
+    assert (divergence.keys_of(langs[40:90], terms[40:90]) == keys[40:90]).all()
+    assert len(divergence.keys_of(langs[:0], terms[:0])) == 0
+    longer = pa.array([t + b"more" for _, t in rows[2000:2100]], pa.large_binary())
+    cut = [pa.compute.binary_slice(longer.slice(i, 1), 0, len(rows[2000 + i][1])) for i in range(100)]
+    assert [int(divergence.keys_of(langs[2000 + i : 2001 + i], c)[0]) for i, c in enumerate(cut)] == keys[2000:2100].tolist()
